@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, token_count, token_store
+from . import bpe, spotsigs, token_count, token_store, url_filter
 from .common import table
 
 #: Vocabulary files; their place is a parameter of the operators.
@@ -16,6 +16,20 @@ BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
 END_ID = 2
 
 
+#: Stated rules of the URL filter.
+RULES = [
+    url_filter.Rule("net", "/", url_filter.BLOCK),
+    url_filter.Rule("example.net", "/en/", url_filter.ALLOW),
+    url_filter.Rule("example.com", "/de/", url_filter.BLOCK),
+    url_filter.Rule("org", "/fr/", url_filter.ALLOW),
+]
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages, labels = table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")
+    return url_filter.judge(pages, url_filter.label_by_document(pages, labels), RULES)
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
@@ -28,8 +42,12 @@ def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.store_round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), end_id=END_ID)
 
 
+def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op6_bpe, op7_token_counts, op9_token_store]
+    own = [op3_url_filter, op6_bpe, op7_token_counts, op9_token_store, op10_spotsigs]
     return {f.__name__: f for f in own}
 
 
