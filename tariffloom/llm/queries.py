@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, spotsigs, token_count, token_store, url_filter
+from . import bpe, language_id, quality, spotsigs, token_count, token_store, url_filter
 from .common import table
 
 #: Vocabulary files; their place is a parameter of the operators.
@@ -30,6 +31,16 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, url_filter.label_by_document(pages, labels), RULES)
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = language_id.identify_documents(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "language", "confidence", "declared_language", F.col("language_kept").alias("kept"))
+
+
+def pages_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = language_id.identify_pages(table(spark, sf_dir, "pages"))
+    return out.select("page_id", "language", "confidence", "declared_language", F.col("language_kept").alias("kept"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
@@ -38,6 +49,12 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+    return out.select("doc_id", F.col("quality_score").alias("score"), F.col("quality_kept").alias("kept"))
+
+
 def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.store_round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), end_id=END_ID)
 
@@ -47,7 +64,7 @@ def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op3_url_filter, op6_bpe, op7_token_counts, op9_token_store, op10_spotsigs]
+    own = [op3_url_filter, op5_language_id, op6_bpe, op7_token_counts, op8_quality, op9_token_store, op10_spotsigs, pages_language_id]
     return {f.__name__: f for f in own}
 
 
