@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language_id, quality, spotsigs, token_count, token_store, url_filter
+from . import bpe, language_id, minhash, quality, spotsigs, token_count, token_store, url_filter
 from .common import table
 
 #: Vocabulary files; their place is a parameter of the operators.
@@ -26,6 +26,10 @@ RULES = [
 ]
 
 
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), words_each=2, percent=80)
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages, labels = table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")
     return url_filter.judge(pages, url_filter.label_by_document(pages, labels), RULES)
@@ -64,7 +68,7 @@ def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op3_url_filter, op5_language_id, op6_bpe, op7_token_counts, op8_quality, op9_token_store, op10_spotsigs, pages_language_id]
+    own = [op2_minhash, op3_url_filter, op5_language_id, op6_bpe, op7_token_counts, op8_quality, op9_token_store, op10_spotsigs, pages_language_id]
     return {f.__name__: f for f in own}
 
 
