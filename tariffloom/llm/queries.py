@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language_id, minhash, quality, spotsigs, token_count, token_store, url_filter
+from . import bpe, decontaminate, language_id, minhash, quality, spotsigs, token_count, token_store, url_filter
 from .common import table
 
 #: Vocabulary files; their place is a parameter of the operators.
@@ -35,6 +35,12 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, url_filter.label_by_document(pages, labels), RULES)
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "item_ids", F.col("leak_similarity").alias("similarity"), F.col("leak_kept").alias("kept"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = language_id.identify_documents(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "language", "confidence", "declared_language", F.col("language_kept").alias("kept"))
@@ -68,7 +74,7 @@ def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op2_minhash, op3_url_filter, op5_language_id, op6_bpe, op7_token_counts, op8_quality, op9_token_store, op10_spotsigs, pages_language_id]
+    own = [op2_minhash, op3_url_filter, op4_decontaminate, op5_language_id, op6_bpe, op7_token_counts, op8_quality, op9_token_store, op10_spotsigs, pages_language_id]
     return {f.__name__: f for f in own}
 
 
