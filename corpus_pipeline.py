@@ -1,12 +1,65 @@
-"""Corpus pipeline: documents in, cleaned and tokenized documents out."""
+"""Corpus pipeline: documents in, cleaned, deduplicated and tokenized documents out.
+
+Each stage takes (spark, docs, sf_dir) and works on all that the stage before
+kept; all but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
+from tariffloom.llm import bpe, decontaminate, language_id, minhash, quality
 from tariffloom.llm.common import materialize, table
 
-STAGES: list = []
+TOKENIZER = "byte_bpe_50k.json"
+#: Word shingles and similarity (in percent) of near-duplicates.
+SHINGLE_WORDS, PERCENT = 5, 80
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is found with confidence."""
+    return language_id.identify_documents(docs).where("language_kept").select(*docs.columns)
+
+
+def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the co-trained classifier takes as good."""
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, model).where("quality_kept").select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates; rows that repeat a doc_id go as well."""
+    judged = minhash.near_duplicates(docs, words_each=SHINGLE_WORDS, percent=PERCENT)
+    dropped = materialize(judged.where("not kept").select(F.col("doc_id").alias("dropped_id")).distinct(), "dropped")
+    rows = docs.join(minhash.small(dropped), F.col("doc_id") == F.col("dropped_id"), "left_anti")
+    repeated = materialize(docs.where("doc_id is not null").groupBy(F.col("doc_id").alias("repeated_id")).count().where("count > 1").select("repeated_id"), "repeated")
+    if repeated.isEmpty():
+        return rows
+    again = rows.join(repeated, F.col("doc_id") == F.col("repeated_id"), "left_semi")
+    again = again.withColumn("_place", F.row_number().over(Window.partitionBy("doc_id").orderBy(*docs.columns))).where("_place = 1").drop("_place")
+    return rows.join(repeated, F.col("doc_id") == F.col("repeated_id"), "left_anti").unionByName(again)
+
+
+def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no passage of the benchmark."""
+    return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark")).where("leak_kept").select(*docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of ids and of the decoded text."""
+    return bpe.encode_decode(docs, public_tokenizers.path(TOKENIZER))
+
+
+STAGES = [
+    ("language ID", identify_language),
+    ("quality classifier", classify_quality),
+    ("MinHash near-dedup", drop_near_duplicates),
+    ("benchmark decontamination", drop_benchmark_leaks),
+    ("BPE encoding and decoding", encode),
+]
+#: SQL can express neither the trained models nor the tokenizer.
 ORACLE_SQL = None
 
 
@@ -14,5 +67,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to ``documents``, each over the written result of the one before."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs

@@ -131,14 +131,14 @@ def _likely(a: str, b: str, percent: int) -> Column:
     return sizes & (differ <= BITS - LEAST_BITS)
 
 
-def _small(ids: DataFrame) -> DataFrame:
+def small(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (u, v) whose whole sets (doc_id, shingles) are similar enough."""
     needed = materialize(pairs.select(F.col("u").alias("id")).union(pairs.select("v")).distinct(), "needed")
-    own = sets.join(_small(needed), F.col("doc_id") == F.col("id"), "left_semi")
+    own = sets.join(small(needed), F.col("doc_id") == F.col("id"), "left_semi")
     u, v = (own.select(F.col("doc_id").alias(k), F.col("shingles").alias(f"set_{k}")) for k in "uv")
     common = F.size(F.array_intersect("set_u", "set_v"))
     met = pairs.join(u, "u").join(v, "v").select("u", "v", common.alias("c"), (F.size("set_u") + F.size("set_v")).alias("both"))
@@ -209,5 +209,5 @@ def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
     """Rows (key, me) with the component of their document."""
     if labels is None:
         return rows.select("key", "me", F.col("me.id").alias("component"))
-    joined = rows.join(_small(labels), F.col("me.id") == F.col("id"), "left")
+    joined = rows.join(small(labels), F.col("me.id") == F.col("id"), "left")
     return joined.select("key", "me", F.coalesce("component", "me.id").alias("component"))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, language_id, minhash, quality, spotsigs, token_count, token_store, url_filter
+from . import bpe, decontaminate, html_extract, language_id, minhash, quality, spotsigs, token_count, token_store, url_filter
 from .common import table
 
 #: Vocabulary files; their place is a parameter of the operators.
@@ -26,6 +26,10 @@ RULES = [
 ]
 
 
+def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words_each=2, percent=80)
 
@@ -74,7 +78,7 @@ def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op2_minhash, op3_url_filter, op4_decontaminate, op5_language_id, op6_bpe, op7_token_counts, op8_quality, op9_token_store, op10_spotsigs, pages_language_id]
+    own = [op1_html_extract, op2_minhash, op3_url_filter, op4_decontaminate, op5_language_id, op6_bpe, op7_token_counts, op8_quality, op9_token_store, op10_spotsigs, pages_language_id]
     return {f.__name__: f for f in own}
 
 
