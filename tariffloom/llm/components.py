@@ -18,7 +18,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("u", "v").union(edges.select(F.col("v"), F.col("u")))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
     out = both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return out.where("u <> v").distinct()
+    return out.where("u <> v")  # repeats go in the small star
 
 
 def _small_star(edges: DataFrame) -> DataFrame:

@@ -11,9 +11,9 @@ first collection with one of the second: BANDS**2 tables of 2*ROWS rows out of
 table with a probability of 4e-4, of 0.85 with 2e-5, of 0.9 with 4e-7.
 
 *Verification without all pairs.* Documents that share a key are compared in
-rounds: each document meets one centre of its buckets, what is linked becomes
+rounds: each document meets a few centres of its buckets, what is linked becomes
 one component, and in the next round only documents meet a centre of another
-component. When a round links little more, documents of *different* components
+component. In the end documents of *different* components
 that share a key are compared with each other, so that no candidate is left
 out; copies linked before are not compared again. Pairs are first tested by
 set size and by 128 sampled bits (at similarity 0.8 the test fails with a
@@ -37,8 +37,8 @@ BANDS, ROWS = 12, 3
 BITS = 128
 #: Of 128 bits so many agree at least: 5.6 standard deviations below the mean at similarity 0.8.
 LEAST_BITS = 96
-#: Rounds with centres at most, and the share of tested documents below which a round ends them.
-MAX_ROUNDS, LITTLE = 6, 0.02
+#: Rounds with centres at most, and centres that a document meets in each. A round without a link is the last.
+MAX_ROUNDS, CENTRES = 4, 3
 #: Rows of two numbers up to which ids are broadcast (64 MB).
 BROADCAST_IDS = 2_000_000
 
@@ -174,8 +174,9 @@ def near_duplicates(docs: DataFrame, *, words_each: int = 5, percent: int = 80)
         centres = own.groupBy("key").agg(F.min(F.struct("rank", "me", "component")).alias("centre"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key", "centre")
         met = own.join(materialize(centres, "centres"), "key").where((F.col("component") != F.col("centre.component")))
         met = met.select("me", F.col("centre.me").alias("it"), F.col("centre.rank").alias("it_rank")).where(_likely("me", "it", percent))
-        pairs = met.groupBy(F.col("me.id").alias("u")).agg(F.min_by("it.id", F.struct("it_rank", "it.id")).alias("v"))
-        pairs = materialize(pairs, "pairs")
+        # a document has no more centres than tables, so the sets are bounded
+        few = met.groupBy(F.col("me.id").alias("u")).agg(F.slice(F.array_sort(F.collect_set(F.struct("it_rank", "it.id"))), 1, CENTRES).alias("its"))
+        pairs = materialize(few.select("u", F.explode("its.id").alias("v")), "pairs")
         tried = pairs.count()
         if not tried:
             break
@@ -185,7 +186,7 @@ def near_duplicates(docs: DataFrame, *, words_each: int = 5, percent: int = 80)
             links = found if links is None else links.union(found)
             labels = materialize(components(links), "labels")
             links = labels.select(F.col("id").alias("u"), F.col("component").alias("v"))
-        if linked <= LITTLE * tried:
+        if not linked:
             break
     rest = _labelled(rows, labels)
     mixed = rest.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
@@ -194,8 +195,9 @@ def near_duplicates(docs: DataFrame, *, words_each: int = 5, percent: int = 80)
     pairs = a.join(b, (a["key"] == b["key"]) & (F.col("ca") < F.col("cb")) & _likely("a", "b", percent)).select(F.col("a.id").alias("u"), F.col("b.id").alias("v")).distinct()
     pairs = materialize(pairs, "pairs")
     if not pairs.isEmpty():
-        found = verified(pairs, sets, percent)
-        labels = materialize(components(found if links is None else found.union(links)), "labels")
+        found = materialize(verified(pairs, sets, percent), "links")
+        if not found.isEmpty():
+            labels = materialize(components(found if links is None else found.union(links)), "labels")
     by_class = classes.select("d1", "d2", "rep")
     if labels is not None:
         by_class = by_class.join(labels, F.col("rep") == F.col("id"), "left").select("d1", "d2", F.coalesce("component", "rep").alias("rep"))
