@@ -25,7 +25,7 @@ def is_pack_token(v: Column) -> Column:
 
 def pack_value_quality(v: Column) -> Column:
     """Rank of a pack value: -3 for a code, 3 with "/", 2 for digits, 1 for a token, else 0."""
-    return F.when(v == "", 0).when(is_code_line(v), -3).when(F.contains(v, F.lit("/")), 3).when(v.rlike(r"^\d+\z"), 2).when(v.rlike(r"^[A-Za-z0-9\-_/.]+\z"), 1).otherwise(0)
+    return F.when(v == "", 0).when(v.rlike("[A-Za-z]") & is_code_line(v), -3).when(F.contains(v, F.lit("/")), 3).when(v.rlike(r"^\d+\z"), 2).when(v.rlike(r"^[A-Za-z0-9\-_/.]+\z"), 1).otherwise(0)
 
 
 def row_quality(pack: Column, particulars: Column) -> Column:
