@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bpe import BATCH_CHARS, Generations
+from .bpe import BATCH_CHARS, MARKS, PLAIN_LIMIT, Generations, byte_alphabet
 from .common import shared_dir
 
 MAGIC = b"PFR1"
@@ -112,7 +112,13 @@ def decode_segment(data: bytes, first: int = 0, n: int | None = None) -> np.ndar
 
 
 class WordEncoder:
-    """Ids of whole texts by a tokenizer that drops white space: exact for each word by itself."""
+    """Ids of whole texts by a tokenizer that drops white space: exact for each word by itself.
+
+    Words not met before go to the library: those of plain letters, less the
+    marks behind them, straight to its BPE model (for them its normalizer only
+    makes lower case, and its pre-tokenizer leaves letters and marks as one
+    piece each), all others through the whole library.
+    """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
@@ -121,12 +127,35 @@ class WordEncoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.cache = Generations()
+        self.alphabet = {b: c for c, b in byte_alphabet().items()}
+        self.cache, self.stems = Generations(), Generations()
 
     def learn(self, words: set[str]) -> None:
         self.cache.make_room(len(words))
         new = self.cache.missing(words)
-        self.cache.young.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False), strict=True))
+        parts = [self._parts(w) for w in new]
+        wanted = {p for own in parts for p in own}
+        self.stems.make_room(len(wanted))
+        plain, odd = [], []
+        for p in self.stems.missing(wanted):
+            (plain if p[0] else odd).append(p)
+        ids = self.stems.young
+        ids.update((p, self._letters(p[1])) for p in plain)
+        encoded = self.library.encode_batch_fast([p[1] for p in odd], add_special_tokens=False)
+        ids.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(odd, encoded, strict=True))
+        self.cache.young.update((w, ids[own[0]] if len(own) == 1 else ids[own[0]] + ids[own[1]]) for w, own in zip(new, parts, strict=True))
+
+    def _parts(self, word: str) -> list[tuple[bool, str]]:
+        """(is it of plain letters, piece) for the pieces that the word is encoded by."""
+        low = word.lower()
+        stem = low.rstrip(MARKS)
+        if not stem.isalpha() or max(low) >= PLAIN_LIMIT:
+            return [(False, word)]
+        return [(True, stem)] if len(stem) == len(low) else [(True, stem), (False, low[len(stem) :])]
+
+    def _letters(self, stem: str) -> bytes:
+        shown = stem if stem.isascii() else "".join(map(self.alphabet.__getitem__, stem.encode()))
+        return np.array([t.id for t in self.library.model.tokenize(shown)], "<u4").tobytes()
 
     def words(self, text: str) -> list[str]:
         if any(c in text for c in NOT_WHITE):
