@@ -47,16 +47,25 @@ PERCENTILES = (50, 75, 85, 90, 95, 98, 100)
 NOT_WHITE = "\x1c\x1d\x1e\x1f"
 
 
+_LENGTHS = np.array([k.bit_length() for k in range(1 << 16)], np.uint8)
+
+
 def _bits(values: np.ndarray) -> np.ndarray:
-    """Bit lengths; exact, as all values are below 2**32."""
-    return np.frexp(values.astype(np.float64))[1].astype(np.int64)
+    """Bit lengths of unsigned 32-bit values, by a table of the halves."""
+    high = values >> np.uint32(16)
+    low = _LENGTHS[values & np.uint32(0xFFFF)]
+    return np.where(high > 0, _LENGTHS[high] + 16, low).astype(np.uint8) if high.any() else low
 
 
-def _pack(values: np.ndarray, width: int) -> bytes:
-    if not width:
-        return b""
-    bits = np.unpackbits(np.ascontiguousarray(values, "<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little", count=32)
-    return np.packbits(bits[:, :width].ravel(), bitorder="little").tobytes()
+def _pack(values: np.ndarray, width: int) -> np.ndarray:
+    """The low bits of each row's values, packed: one row of bytes for each row."""
+    rows, n = values.shape
+    if width in (8, 16, 32):
+        return np.ascontiguousarray(values, f"<u{width // 8}").view(np.uint8).reshape(rows, -1)
+    size = 2 if width < 16 else 4
+    raw = np.ascontiguousarray(values, f"<u{size}").view(np.uint8).reshape(-1, size)
+    bits = np.unpackbits(raw, axis=1, bitorder="little")[:, :width].reshape(rows, n * width)
+    return np.packbits(bits, axis=1, bitorder="little")
 
 
 def _unpack(data: np.ndarray, n: int, width: int) -> np.ndarray:
@@ -67,16 +76,30 @@ def _unpack(data: np.ndarray, n: int, width: int) -> np.ndarray:
     return np.packbits(bits, axis=1, bitorder="little").view("<u4").ravel()
 
 
-def encode_block(ids: np.ndarray) -> bytes:
-    least = int(ids.min())
-    values = (ids - least).astype(np.uint32)
+def _widths(lengths: np.ndarray) -> np.ndarray:
+    """For each row the width, among those at the percentiles of its bit lengths, that takes the fewest bits."""
+    n = lengths.shape[1]
+    over = np.stack([(lengths > w).sum(axis=1) for w in range(int(lengths.max(initial=0)) + 1)], axis=1)
+    at = np.stack([(over <= int(n * (100 - p) / 100)).argmax(axis=1) for p in PERCENTILES], axis=1)
+    cost = at * n + 8 * 6 * np.take_along_axis(over, at, axis=1)
+    return np.take_along_axis(at, cost.argmin(axis=1)[:, None], axis=1)[:, 0]
+
+
+def encode_blocks(ids: np.ndarray) -> list[bytes]:
+    """The blocks of rows of ids of equal length, all rows at once."""
+    least = ids.min(axis=1)
+    values = (ids - least[:, None]).astype(np.uint32)
     lengths = _bits(values)
-    widths = {int(w) for w in np.percentile(lengths, PERCENTILES, method="lower")}
-    cost = {w: len(ids) * w + 48 * int((lengths > w).sum()) for w in widths}
-    width = min(cost, key=lambda w: (cost[w], w))
-    out = np.flatnonzero(lengths > width)
-    low = values & np.uint32((1 << width) - 1)
-    return struct.pack("<IBHH", least, width, len(ids), len(out)) + out.astype("<u2").tobytes() + values[out].astype("<u4").tobytes() + _pack(low, width)
+    widths = _widths(lengths)
+    out = [b""] * len(ids)
+    for width in np.unique(widths).tolist():
+        rows = np.flatnonzero(widths == width)
+        packed = _pack(values[rows] & np.uint32((1 << width) - 1), width) if width else np.zeros((len(rows), 0), np.uint8)
+        beyond = lengths[rows] > width
+        for k, row in enumerate(rows.tolist()):
+            places = np.flatnonzero(beyond[k])
+            out[row] = b"".join([struct.pack("<IBHH", int(least[row]), width, ids.shape[1], len(places)), places.astype("<u2").tobytes(), values[row, places].astype("<u4").tobytes(), packed[k].tobytes()])
+    return out
 
 
 def decode_block(data: bytes, at: int = 0) -> np.ndarray:
@@ -91,7 +114,10 @@ def decode_block(data: bytes, at: int = 0) -> np.ndarray:
 
 def encode_segment(ids: np.ndarray) -> bytes:
     """The bytes of one segment. No ids: a segment without blocks."""
-    blocks = [encode_block(ids[k : k + BLOCK]) for k in range(0, len(ids), BLOCK)]
+    full = len(ids) // BLOCK * BLOCK
+    blocks = encode_blocks(ids[:full].reshape(-1, BLOCK)) if full else []
+    if full < len(ids):
+        blocks += encode_blocks(ids[full:][None, :])
     head = 12 + 4 * len(blocks)
     starts = head + np.cumsum([0, *map(len, blocks[:-1])]) if blocks else np.zeros(0)
     return b"".join([MAGIC, struct.pack("<II", len(ids), len(blocks)), starts.astype("<u4").tobytes(), *blocks])
@@ -163,24 +189,29 @@ class WordEncoder:
         return text.split()
 
     def batch(self, texts: list[str | None]) -> Iterator[bytes]:
-        waiting: list[list[str]] = []
+        waiting: list[tuple[list[bytes | None], list[int], list[str]]] = []
         wanted: set[str] = set()
         size = 0
         for text in texts:
             words = self.words(text or "")
-            waiting.append(words)
-            wanted.update(words)
+            values = list(map(self.cache.young.get, words))
+            places = [k for k, v in enumerate(values) if v is None] if None in values else []
+            new = [words[k] for k in places]
+            wanted.update(new)
+            waiting.append((values, places, new))
             size += len(text or "")
             if size >= BATCH_CHARS:
                 yield from self._flush(waiting, wanted)
                 waiting, wanted, size = [], set(), 0
         yield from self._flush(waiting, wanted)
 
-    def _flush(self, waiting: list[list[str]], wanted: set[str]) -> Iterator[bytes]:
-        self.learn(wanted)
-        get = self.cache.young.__getitem__
-        for words in waiting:
-            yield b"".join(map(get, words))
+    def _flush(self, waiting: list, wanted: set[str]) -> Iterator[bytes]:
+        if wanted:
+            self.learn(wanted)
+        for values, places, new in waiting:
+            for k, word in zip(places, new, strict=True):
+                values[k] = self.cache.young[word]
+            yield b"".join(values)
 
 
 @lru_cache(maxsize=2)
