@@ -15,9 +15,12 @@ Native: only DataFrame functions, no Python on the executors.
    window's and the item's shingles, weighted by their characters, reaches
    the threshold.
 
-Two windows of similarity 0.8 in five-word shingles share all but a few words;
-their fingerprints differ in about 4 bits (standard deviation 2), so a radius
-of 11 is 3.5 deviations away.
+The radius decides recall, and was measured: items of the given benchmark with
+words replaced at an end or anywhere, kept where the similarity stays at 0.8 or
+more (4,190 pairs), differ in 5.3 bits on average (standard deviation 2.7), in
+17 at most; 95 of them in more than 11. Radius 18 covers all of them. It leaves
+blocks of three or four bits, so the blocks select little: what keeps the
+comparisons few is step 1 and that equal windows count once.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .common import materialize
 
-WORDS, THRESHOLD, RADIUS = 5, 0.8, 11
+WORDS, THRESHOLD, RADIUS = 5, 0.8, 18
 #: Rows up to which a table of a few numbers a row is broadcast (about 64 MB).
 BROADCAST_ROWS = 1_000_000
 

@@ -91,6 +91,30 @@ def test_decontamination_finds_passages(spark):
     assert got == want and any(want.values())
 
 
+def test_edited_passages_are_found(spark):
+    """Passages that keep a weighted similarity of 0.8 are found, however the edit moves the fingerprint."""
+    rng = random.Random(8)
+    items = [(r.item_id, re.findall(r"[^\W_]+", r.text.lower())) for r in spark.read.parquet("/root/testdata/check_s/benchmark.parquet").collect()]
+
+    def alike(a, b):
+        weigh = lambda ws: {tuple(ws[k : k + 5]): sum(map(len, ws[k : k + 5])) for k in range(len(ws) - 4)}
+        x, y = weigh(a), weigh(b)
+        both = sum(x[s] for s in x if s in y)
+        return both / (sum(x.values()) + sum(y.values()) - both)
+
+    want, docs = {}, []
+    for i, words in items:
+        for n in range(1, 7):
+            own = [*words[:-n], *("q" + "".join(rng.choice("bcdfg") for _ in range(rng.randint(1, 7))) for _ in range(n))]
+            if alike(words, own) >= 0.8:
+                want[len(docs)] = i
+                docs.append((len(docs), "zz yy " + " ".join(own) + " xx"))
+    d = spark.createDataFrame(docs, "doc_id bigint, text string")
+    b = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id bigint, text string")
+    found = {(r.doc_id, r.item_id) for r in decontaminate.matches(d, b).collect()}
+    assert len(want) > 300 and found >= set(want.items())
+
+
 def _edited(texts):
     order = sorted(texts, reverse=True)
     for i, j in zip(order, order[1:] + order[:1], strict=True):
