@@ -8,7 +8,8 @@ form a class, and only a class's smallest doc_id goes on.
 first collection with one of the second: BANDS**2 tables of 2*ROWS rows out of
 2*BANDS*ROWS minhashes, where tables of their own would take
 2*BANDS**2*ROWS. With 12 bands of 3, two sets of similarity 0.8 meet in no
-table with a probability of 4e-4, of 0.85 with 2e-5, of 0.9 with 4e-7.
+table with a probability of 4e-4, of 0.85 with 2e-5, of 0.9 with 3e-7
+(computed for ideal minhashes).
 
 *Verification without all pairs.* Documents that share a key are compared in
 rounds: each document meets a few centres of its buckets, what is linked becomes
@@ -17,7 +18,7 @@ component. In the end documents of *different* components
 that share a key are compared with each other, so that no candidate is left
 out; copies linked before are not compared again. Pairs are first tested by
 set size and by 128 sampled bits (at similarity 0.8 the test fails with a
-probability below 1e-7), then on their whole sets.
+probability of 3e-7), then on their whole sets.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ from .components import components
 
 BANDS, ROWS = 12, 3
 BITS = 128
-#: Of 128 bits so many agree at least: 5.6 standard deviations below the mean at similarity 0.8.
+#: Of 128 bits so many agree at least; the binomial tail below it at similarity 0.8 is 2.8e-7.
 LEAST_BITS = 96
 #: Rounds with centres at most, and centres that a document meets in each. A round without a link is the last.
 MAX_ROUNDS, CENTRES = 4, 3
