@@ -50,7 +50,7 @@ def text_features(text: str | None) -> np.ndarray:
         upper / n, lower / n, digit / n, high / n, counts[32] / n, upper / max(1.0, upper + lower),
         len(set(words)) / max(1, len(words)), sum(map(len, words)) / max(1, len(words)) / 10, len(set(lines)) / len(lines),
         -(share * np.log(share)).sum() / 5, np.log1p(len(data)) / 10, np.log1p(len(words)) / 10, np.log1p(len(words) / len(lines)) / 5,
-        sum(1 for w in words[:: max(1, len(words) // 500)] if w[-1] in "!#$%&*|") / max(1, min(500, len(words))),
+        sum(1 for w in words if w[-1] in "!#$%&*|") / max(1, len(words)),
     ]
     return np.concatenate([base, np.sqrt(counts[np.frombuffer(MARKS, np.uint8)] / n), [1.0]])
 

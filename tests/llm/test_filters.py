@@ -117,6 +117,14 @@ def test_quality_on_held_out_rows(spark):
     assert sum(good) >= 0.98 * len(good) and sum(bad) <= 0.1 * len(bad)
 
 
+def test_trailing_marks_are_counted_over_the_whole_text():
+    """Marks between any strides count, and the share does not depend on the length."""
+    share = lambda words: quality.text_features(" ".join(words))[13]
+    assert share(["a!"] * 991) == share(["a!"] * 10) == 1.0
+    assert share(["a", "b!"] * 10_000) == share(["a!", "b"] * 10_000) == 0.5
+    assert share([]) == 0.0
+
+
 def test_views_teach_each_other():
     import numpy as np
 
