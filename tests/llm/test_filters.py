@@ -95,6 +95,30 @@ def test_language(spark):
     assert language_id.identify_documents(docs.limit(0)).count() == 0
 
 
+FOREIGN = {
+    "it": "La casa è molto grande e il giardino è pieno di fiori che crescono vicino al muro della vecchia chiesa del paese.",
+    "nl": "Het huis is erg groot en de tuin staat vol met bloemen die naast de muur van de oude kerk in het dorp groeien.",
+    "pt": "A casa é muito grande e o jardim está cheio de flores que crescem perto do muro da velha igreja da aldeia.",
+    "pl": "Dom jest bardzo duży, a ogród jest pełen kwiatów, które rosną obok muru starego kościoła we wsi.",
+    "sv": "Huset är mycket stort och trädgården är full av blommor som växer bredvid muren till den gamla kyrkan i byn.",
+    "tr": "Ev çok büyük ve bahçe, köydeki eski kilisenin duvarının yanında büyüyen çiçeklerle dolu.",
+}
+
+
+def test_other_languages_and_gibberish_are_not_kept(spark):
+    import random
+
+    rng = random.Random(4)
+    draw = lambda signs, n: "".join(rng.choice(signs) for _ in range(n))
+    latin, cyrillic, greek, han = (list(map(chr, range(*r))) for r in ((97, 123), (0x430, 0x450), (0x3B1, 0x3CA), (0x4E00, 0x9000)))
+    texts = [*FOREIGN.values(), *(draw([*signs, " "] if n % 2 else signs, 20 + 31 * n) for signs in (latin, cyrillic, greek, han) for n in range(10))]
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    odd = spark.createDataFrame([(10**6 + 2 * k + said, t, ("en", "fr")[k % 2] if said else None, "s", len(t)) for k, t in enumerate(texts) for said in (0, 1)], docs.schema)
+    out = language_id.identify_documents(docs.unionByName(odd))
+    assert out.where(f"doc_id >= {10**6} and language_kept").count() == 0
+    assert out.where(f"doc_id < {10**6} and not (language_kept and language = lang)").count() == 0
+
+
 def test_page_language_uses_markup_and_host(spark):
     pages = spark.read.parquet(f"{DATA}/pages.parquet")
     out = language_id.identify_pages(pages)
