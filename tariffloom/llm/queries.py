@@ -77,8 +77,12 @@ def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def spotsigs_alike(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.alike(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op1_html_extract, op2_minhash, op3_url_filter, op4_decontaminate, op5_language_id, op6_bpe, op7_token_counts, op8_quality, op9_token_store, op10_spotsigs, pages_language_id]
+    own = [op1_html_extract, op2_minhash, op3_url_filter, op4_decontaminate, op5_language_id, op6_bpe, op7_token_counts, op8_quality, op9_token_store, op10_spotsigs, pages_language_id, spotsigs_alike]
     return {f.__name__: f for f in own}
 
 

@@ -9,8 +9,12 @@ anchor. A fingerprint is the sorted set of the signatures' 32-bit hashes. A
 text without any signature has one hash of all its words, or of itself if it
 has no words; the empty text has an empty fingerprint.
 
-Likeness is the Jaccard similarity of two sets. It is pruned by set length:
-where the lengths alone rule out ``least``, nothing is intersected.
+Likeness is the Jaccard similarity of two sets. ``fingerprints`` compares given
+pairs in full, as their exact similarity is the result. ``alike`` finds all
+alike documents: sets are partitioned by length so that alike ones lie in the
+same or in neighbouring partitions, candidates share one of their rarest
+signatures there, and lengths that rule the similarity out are pruned before
+anything is intersected.
 """
 
 from __future__ import annotations
@@ -103,6 +107,62 @@ def _next_bucket(heads: DataFrame) -> DataFrame:
     return inside.join(supers, F.col("above") == F.col("s")).select("bucket", F.coalesce("lower", "follows", "first").alias("next_bucket"))
 
 
+#: Least similarity (in percent) of alike documents.
+PERCENT = 44
+
+
+def length_bounds(longest: int, percent: int) -> list[int]:
+    """Least lengths of the partitions: what is alike to a set of partition k lies in k - 1, k or k + 1."""
+    bounds = [1]
+    while (following := 100 * bounds[-1] // percent + 1) <= longest:
+        bounds.append(following)
+    return bounds
+
+
+def alike_sets(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(a, b, similarity): all pairs of sets (set_id, signatures) that reach ``percent``, each once.
+
+    set_id must be unique, and the sets distinct and not empty. Of a set of n
+    signatures the n - ceil(n * percent / 100) + 1 rarest are listed; two alike
+    sets share one of these.
+    """
+    longest = sets.agg(F.max(F.size("signatures"))).first()[0] or 1
+    bounds = F.array(*map(F.lit, length_bounds(longest, percent)))
+    single = sets.select("set_id", F.size("signatures").alias("n"), F.explode("signatures").alias("sig"))
+    often = single.groupBy(F.col("sig").alias("of_sig")).agg(F.count("*").alias("often"))
+    ranked = single.join(often, F.col("sig") == F.col("of_sig")).groupBy("set_id", "n").agg(F.sort_array(F.collect_list(F.struct("often", "sig"))).alias("ranked"))
+    rare = F.slice("ranked", F.lit(1), F.col("n") - F.expr(f"int((bigint(n) * {int(percent)} + 99) div 100)") + 1)
+    listed = ranked.withColumn("part", F.size(F.filter(bounds, lambda b: b <= F.col("n")))).select("set_id", "n", "part", F.explode(rare).alias("s")).select("set_id", "n", "part", F.col("s.sig").alias("sig"))
+    listed = materialize(listed, "spotsigs-lists")
+    short = listed.select(F.col("set_id").alias("a"), F.col("n").alias("n_a"), F.col("part").alias("part_a"), "sig", F.explode(F.array("part", F.col("part") + 1)).alias("part"))
+    long = listed.select(F.col("set_id").alias("b"), F.col("n").alias("n_b"), "part", "sig")
+    once = (F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("a") < F.col("b")))
+    near = once & (F.col("n_a").cast("bigint") * 100 >= F.col("n_b").cast("bigint") * percent)
+    pairs = short.join(long, ["part", "sig"]).where(near).select("a", "b").distinct()
+    pairs = pairs.join(sets.select(F.col("set_id").alias("a"), F.col("signatures").alias("of_a")), "a").join(sets.select(F.col("set_id").alias("b"), F.col("signatures").alias("of_b")), "b")
+    return pairs.select("a", "b", likeness(F.col("of_a"), F.col("of_b")).alias("similarity")).where(F.col("similarity") >= percent / 100)
+
+
+def alike(docs: DataFrame, *, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, other_id, similarity): all documents whose signature sets reach ``percent``, wherever they stand.
+
+    Documents with equal sets are paired with the least doc_id among them
+    (similarity 1); pairs of different sets are given once, by their least
+    ids, the lesser one first. Rows without doc_id take no part; an id with
+    several texts may be paired with itself.
+    """
+    rows = with_signatures(docs.select("doc_id", "text").where("doc_id is not null"), "text", "signatures")
+    rows = materialize(rows.select("doc_id", "signatures").distinct(), "spotsigs-rows")
+    sets = rows.groupBy("signatures").agg(F.min("doc_id").alias("least_id"))
+    sets = materialize(sets.withColumn("set_id", F.monotonically_increasing_id()), "spotsigs-sets")
+    copies = rows.join(sets.select("signatures", "least_id"), "signatures").where("doc_id <> least_id")
+    copies = copies.select(F.col("least_id").alias("doc_id"), F.col("doc_id").alias("other_id"), F.lit(1.0).alias("similarity"))
+    ids = sets.select("set_id", "least_id")
+    pairs = alike_sets(sets.where(F.size("signatures") > 0).select("set_id", "signatures"), percent)
+    pairs = pairs.join(ids.select(F.col("set_id").alias("a"), F.col("least_id").alias("id_a")), "a").join(ids.select(F.col("set_id").alias("b"), F.col("least_id").alias("id_b")), "b")
+    return copies.unionByName(pairs.select(F.least("id_a", "id_b").alias("doc_id"), F.greatest("id_a", "id_b").alias("other_id"), "similarity"))
+
+
 RESULT = ["doc_id", "n_chars", "edited_sha256", "signatures", "edited_signatures", "near_edited", "near_next"]
 
 

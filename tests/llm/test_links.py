@@ -150,3 +150,34 @@ def test_likeness_is_pruned_by_length(spark):
     df = spark.createDataFrame([([1, 2, 3, 4], [1, 2]), ([1, 2], [1, 2]), ([], []), ([1], [])], "a array<int>, b array<int>")
     got = [tuple(r) for r in df.select(spotsigs.likeness(F.col("a"), F.col("b")), spotsigs.likeness(F.col("a"), F.col("b"), 0.6)).collect()]
     assert got == [(0.5, 0.0), (1.0, 1.0), (1.0, 1.0), (0.0, 0.0)]
+
+
+@pytest.mark.parametrize("percent", [44, 60, 80])
+def test_alike_sets_equal_brute_force(spark, percent):
+    rng = random.Random(percent)
+    sets = {frozenset(range(1000, 1000 + n)) for n in (1, 2, 3, 4, 5, 11, 25, 44, 60, 80, 100)}
+    for _ in range(25):
+        base = rng.sample(range(400), rng.randint(1, 60))
+        sets |= {frozenset(rng.sample(base, rng.randint(1, len(base)))) | frozenset(rng.sample(range(400), rng.randint(0, 5))) for _ in range(6)}
+    sets = dict(enumerate(sorted(sets, key=sorted)))
+    got = {(*sorted((r.a, r.b)), r.similarity) for r in spotsigs.alike_sets(spark.createDataFrame([(i, sorted(x)) for i, x in sets.items()], "set_id bigint, signatures array<int>"), percent).collect()}
+    want = {(i, j, len(x & y) / len(x | y)) for i, x in sets.items() for j, y in sets.items() if i < j and 100 * len(x & y) >= percent * len(x | y)}
+    assert got == want and len(want) > 5
+
+
+def test_alike_documents_need_not_be_neighbours(spark):
+    """Every two documents that reach the similarity, whatever their ids, against brute force."""
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    some = sorted(texts)[:20]
+    odd = [(10**6 + i, texts[i] + " the final remark of this author") for i in some] + [(2 * 10**6 + i, texts[i]) for i in some] + [(3 * 10**6, ""), (3 * 10**6 + 1, None), (None, texts[0])]
+    docs = docs.unionByName(spark.createDataFrame(odd, "doc_id bigint, text string"))
+    sets = {r.doc_id: frozenset(r.signatures) for r in spotsigs.with_signatures(docs.where("doc_id is not null"), "text", "signatures").collect()}
+    got = [tuple(r) for r in spotsigs.alike(docs).collect()]
+    least = {}
+    for i in sorted(sets):
+        least.setdefault(sets[i], i)
+    alike = lambda x, y: len(x & y) / len(x | y) if x | y else 1.0
+    reps = sorted(least.values())
+    want = [(least[x], i, 1.0) for i, x in sets.items() if least[x] != i] + [(i, j, alike(sets[i], sets[j])) for k, i in enumerate(reps) for j in reps[k + 1 :] if 100 * len(sets[i] & sets[j]) >= 44 * len(sets[i] | sets[j])]
+    assert sorted(got) == sorted(want) and sum(j >= 10**6 for _, j, _ in got) >= 40
