@@ -39,6 +39,49 @@ def test_query_equals_sql(spark, duck, name):
     assert sorted((tuple(map(plain, r)) for r in got.collect()), key=repr) == want
 
 
+def stated_number(s):
+    """A number by the reference's grammar: its value, None if it is no price, False if it is no number."""
+    whole, dot, rest = s.partition(".")
+    first, *groups = whole.split(",")
+    digits = lambda x: x.isascii() and x.isdigit()
+    if not digits(first) or (dot and not digits(rest)) or not all(digits(g) and len(g) == 3 for g in groups):
+        return False
+    return None if groups and len(first) > 3 else float(s.replace(",", ""))
+
+
+def trailing_by_hand(v):
+    flat = " ".join(v.split())
+    parts = flat.split(" ")
+    if len(parts) == 2 and all(p.isdigit() for p in parts) and 3 <= len(parts[0]) <= 6 and 2 <= len(parts[1]) <= 6:
+        return None
+    for k in range(len(flat)):
+        if (k == 0 or not flat[k - 1].isalnum()) and (value := stated_number(flat[k:])) is not False:
+            return value if value is not None and value >= 50 else None
+    return None
+
+
+def inline_by_hand(v):
+    for line in v.split("\n"):
+        flat = " ".join(line.split())
+        number, _, pack = flat.rpartition(" ")
+        sides = pack.split("/")
+        if len(sides) not in (2, 3) or not all(p.isdigit() and len(p) <= (3 if k else 2) for k, p in enumerate(sides)):
+            continue
+        found = [stated_number(number[k:]) for k in range(len(number)) if k == 0 or not number[k - 1].isdigit()]
+        value = next((x for x in found if x is not False), None)
+        if value is not None and value >= 50:
+            return value, pack
+    return None, ""
+
+
+def test_text_prices_of_all_shapes(spark):
+    """Every row of part, all twelve shapes, against a reading of the reference's rules without expressions."""
+    given = {r.id: r.v for r in catalog.given(spark, DATA, catalog.PRICE_TEXTS).collect()}
+    got = {r.id: (r.trailing, r.inline_price, r.inline_pack) for r in catalog.QUERIES["text_prices_all"](spark, DATA).collect()}
+    assert len(got) == spark.read.parquet(f"{DATA}/part.parquet").count() and {i % 12 for i in got} == set(range(12))
+    assert got == {i: (trailing_by_hand(v), *inline_by_hand(v)) for i, v in given.items()}
+
+
 TEXTS = ["", " ", "1995.-", "1,995.50", "15 670", "63\n125", "4222 39 3190", "₹ 5", "5ST30101)", "ac 12/3", "IP54", "1/12", "10 Nos", "- ", "4122 761", "Unit MRP* `", "2220 1/10/100\nx", "Bell 1736 1/20", "a b c", "12P", "x.5", "9..", "SOCKET-3", "6/16A", "1 1 1", "5ST38140RC\n5ST3", "1.5.", "12,34"]
 
 
