@@ -129,13 +129,15 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, words_each: int = WORDS, t
 def decontaminate(docs: DataFrame, benchmark: DataFrame, *, words_each: int = WORDS, threshold: float = THRESHOLD, radius: int = RADIUS) -> DataFrame:
     """All columns of ``docs``, item_ids, leak_similarity and leak_kept for every row.
 
-    Rows that hold a passage of an item are not kept. Columns of ``docs`` that
+    Rows that hold a passage of an item are not kept, nor are other rows of
+    their doc_id; rows without a doc_id are judged by their own text. Columns of ``docs`` that
     bear the new names are replaced; an empty table gives no rows, an empty
     benchmark keeps all.
     """
-    found = matches(docs, benchmark, words_each=words_each, threshold=threshold, radius=radius)
+    key = F.struct("doc_id", F.when(F.col("doc_id").isNull(), F.sha2("text", 256)).alias("digest"))
+    found = matches(docs.select(key.alias("doc_id"), "text"), benchmark, words_each=words_each, threshold=threshold, radius=radius)
     told = found.groupBy(F.col("doc_id").alias("leak_doc")).agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"), F.max("similarity").alias("leak_similarity"))
     told = _few(materialize(told, "leaks"))
     rows = docs.drop("item_ids", "leak_similarity", "leak_kept")
-    out = rows.join(told, rows["doc_id"].eqNullSafe(told["leak_doc"]), "left")
+    out = rows.join(told, key.eqNullSafe(F.col("leak_doc")), "left")
     return out.select(*rows.columns, "item_ids", "leak_similarity", F.col("leak_similarity").isNull().alias("leak_kept"))

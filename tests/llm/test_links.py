@@ -82,6 +82,13 @@ def test_decontamination(spark):
     assert decontaminate.decontaminate(d.limit(0), b).count() == 0
 
 
+def test_leaks_without_id_leave_other_rows_without_id(spark):
+    item = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu"
+    docs = spark.createDataFrame([(None, f"x {item} y"), (None, "a clean text of its own"), (None, None), (None, ""), (1, "clean")], "doc_id bigint, text string")
+    out = decontaminate.decontaminate(docs, spark.createDataFrame([(1, item)], "item_id bigint, text string"))
+    assert {r.text: r.leak_kept for r in out.collect()} == {f"x {item} y": False, "a clean text of its own": True, None: True, "": True, "clean": True}
+
+
 def test_decontamination_finds_passages(spark):
     docs, items = (spark.read.parquet(f"{DATA}/{t}.parquet") for t in ("documents", "benchmark"))
     flat = lambda t: f" {' '.join(re.findall(r'[^\W_]+', t.lower()))} "
