@@ -3,7 +3,9 @@
 The first tier is a compact table from frequent pieces of text to their
 numbers of tokens, made once and broadcast. The second is a cache in each
 Python worker, filled by the tokenizer library for what the first lacks.
-Pieces are looked up where their text is, so none of them is shuffled.
+Pieces are looked up where their text is, without a shuffle. Only making the
+table shuffles pieces: each task's sums over a bounded sample of rows are
+grouped by piece. Other rows do not take part in that statistic.
 """
 
 from __future__ import annotations
