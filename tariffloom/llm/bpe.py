@@ -19,7 +19,6 @@ Encoded chunks are kept in a bounded cache for each Python worker.
 
 from __future__ import annotations
 
-import gc
 import hashlib
 import heapq
 import json
@@ -33,6 +32,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from .common import bound_batches, without_gc
+
 #: The white space of the tokenizers' patterns (Unicode White_Space).
 WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: The pre-token pattern of byte-level BPE files that use "use_regex".
@@ -346,20 +347,21 @@ def encode_decode(docs: DataFrame, tokenizer_path: str, *, keep_ids: bool = Fals
     ids, as the library does by default. Repeated rows and null doc_ids stay
     as they are; other columns are ignored, whatever their names.
     """
+    bound_batches(docs.sparkSession)
     extra = ", ids array<int>, decoded string" if keep_ids else ""
     schema = f"doc_id {dict(docs.dtypes)['doc_id']}, n_tokens bigint, ids_sha256 string, decoded_sha256 string{extra}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gc.disable()  # no cycles here, and walking the caches costs more than the lookups
-        bpe = encoder(tokenizer_path)
-        for batch in batches:
-            rows: list[tuple] = []
-            for ids in bpe.encode_batch(batch.column(1).to_pylist()):
-                decoded = bpe.decode(ids)
-                row = (len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest())
-                rows.append((*row, np.frombuffer(ids, "<i4"), decoded.decode()) if keep_ids else row)
-            columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int64(), pa.string(), pa.string(), pa.list_(pa.int32()), pa.string()], strict=False)] if rows else [pa.array([], t) for t in [pa.int64(), pa.string(), pa.string(), pa.list_(pa.int32()), pa.string()][: 5 if keep_ids else 3]]
-            names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded"][: 1 + len(columns)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=names)
+        with without_gc():  # walking the caches costs more than the lookups
+            bpe = encoder(tokenizer_path)
+            for batch in batches:
+                rows: list[tuple] = []
+                for ids in bpe.encode_batch(batch.column(1).to_pylist()):
+                    decoded = bpe.decode(ids)
+                    row = (len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest())
+                    rows.append((*row, np.frombuffer(ids, "<i4"), decoded.decode()) if keep_ids else row)
+                columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int64(), pa.string(), pa.string(), pa.list_(pa.int32()), pa.string()], strict=False)] if rows else [pa.array([], t) for t in [pa.int64(), pa.string(), pa.string(), pa.list_(pa.int32()), pa.string()][: 5 if keep_ids else 3]]
+                names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded"][: 1 + len(columns)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=names)
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)

@@ -2,26 +2,65 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Bytes of an Arrow batch of texts: a worker holds a few batches, whatever the texts' lengths.
+BATCH_BYTES = 8 << 20
+
 
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder below the cluster's checkpoint folder.
 
-    The folder is the one that ``spark.checkpoint.dir`` names. Only where
-    the session names none (local tests) a temporary folder is set.
+    The folder is the one that ``spark.checkpoint.dir`` names. Only where a
+    local session names none (bench, tests) a temporary folder is set; on a
+    cluster that is refused, as executors don't see the driver's folders.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="tariffloom-")
         spark.sparkContext.setCheckpointDir(base)
         base = spark.sparkContext.getCheckpointDir()
     return f"{base.rstrip('/')}/tariffloom/{label}-{uuid.uuid4().hex}"
 
 
+def bound_batches(spark: SparkSession, most: int = BATCH_BYTES) -> None:
+    """Bound the session's Arrow batches by bytes; a lower bound that is set already stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(key).rstrip("b")) > most:
+        spark.conf.set(key, str(most))
+
+
+@contextmanager
+def without_gc() -> Iterator[None]:
+    """No collection of cycles while a task fills caches that have none; workers are reused, so it is turned on again."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores before it as keep it apart from the columns of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 

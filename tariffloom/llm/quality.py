@@ -22,7 +22,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
+
+from .common import bound_batches, fresh
 
 #: Labelled and unlabelled rows in training, about.
 LABELLED_ROWS, POOL_ROWS = 6_000, 6_000
@@ -140,11 +141,12 @@ def co_train(text: np.ndarray, meta: np.ndarray, y: np.ndarray, pool_text: np.nd
     return CoTrained(model.text, model.meta, model.text_line, model.meta_line, model.prior, cut, float(((score >= cut) == (y[held] == 1)).mean()))
 
 
-def _features(batch: pa.RecordBatch, at: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-    get = lambda c: batch.column(at[c]).to_pylist()
-    text = [text_features(t) for t in get("text")]
-    meta = [meta_features(*m) for m in zip(get("source"), get("lang"), get("n_chars"), strict=True)]
-    return np.array(text), np.array(meta)
+#: Columns that the views see.
+INPUT = ["text", "source", "lang", "n_chars"]
+
+
+def _features(text: pa.Array, *meta: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    return np.array([text_features(t.as_py()) for t in text]), np.array([meta_features(*m) for m in zip(*(c.to_pylist() for c in meta), strict=True)])
 
 
 def train(docs: DataFrame, labels: DataFrame, *, labelled_rows: int = LABELLED_ROWS, pool_rows: int = POOL_ROWS) -> CoTrained:
@@ -156,14 +158,15 @@ def train(docs: DataFrame, labels: DataFrame, *, labelled_rows: int = LABELLED_R
         return F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1_000_000)) < int(min(1.0, rows / max(1, of)) * 1_000_000) + 1
 
     some = F.broadcast(one.where(chosen("label_id", 1, labelled_rows, n_labels)))  # about labelled_rows rows of two numbers
-    columns = ["doc_id", "text", "source", "lang", "n_chars"]
+    bound_batches(docs.sparkSession)
+    columns = ["doc_id", *INPUT]
     rows = docs.select(*columns).join(some, F.col("doc_id") == F.col("label_id"), "left")
     rows = rows.where(F.col("quality").isNotNull() | chosen("doc_id", 2, pool_rows, n)).select(*columns, "quality")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                text, meta = _features(batch, {c: k for k, c in enumerate(columns)})
+                text, meta = _features(*(batch.column(columns.index(c)) for c in INPUT))
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(5), pa.array(list(text), pa.list_(pa.float64())), pa.array(list(meta), pa.list_(pa.float64()))], names=["doc_id", "quality", "text", "meta"])
 
     kind = dict(docs.dtypes)["doc_id"]
@@ -184,13 +187,15 @@ def score(docs: DataFrame, model: CoTrained) -> DataFrame:
     Null and empty texts are scored as empty ones. Columns of these names are
     replaced; missing metadata counts as null. Repeated rows are scored each.
     """
+    bound_batches(docs.sparkSession)
     docs = docs.drop("quality_score", "quality_kept")
-    at = {c: docs.columns.index(c) for c in ("text", "source", "lang", "n_chars")}
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            z = model.log_odds(*_features(batch, at)) if batch.num_rows else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(1 / (1 + np.exp(-z)), pa.float64()), pa.array(z >= model.cut, pa.bool_())], names=[*batch.schema.names, "quality_score", "quality_kept"])
+    def run(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        for columns in batches:
+            z = model.log_odds(*_features(*columns)) if len(columns[0]) else np.zeros(0)
+            yield pa.StructArray.from_arrays([pa.array(1 / (1 + np.exp(-z)), pa.float64()), pa.array(z >= model.cut, pa.bool_())], names=["score", "kept"])
 
-    schema = StructType([*docs.schema.fields, StructField("quality_score", DoubleType()), StructField("quality_kept", BooleanType())])
-    return docs.mapInArrow(run, schema)
+    # only these columns go to Python and only the scores come back; nondeterministic, so that a filter doesn't run it twice
+    judged = F.arrow_udf(run, "score double, kept boolean").asNondeterministic()(*map(F.col, INPUT))
+    (own,) = fresh(docs, "judged")
+    return docs.withColumn(own, judged).select(*docs.columns, F.col(f"{own}.score").alias("quality_score"), F.col(f"{own}.kept").alias("quality_kept"))

@@ -10,7 +10,6 @@ grouped by piece. Other rows do not take part in that statistic.
 
 from __future__ import annotations
 
-import gc
 import os
 import re
 from collections import Counter
@@ -22,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import CHUNK, Generations
+from .common import bound_batches, without_gc
 
 #: Rows that the frequent pieces are counted on (a bounded sample; it decides speed, never results).
 SAMPLE_ROWS = 4_000
@@ -143,15 +143,16 @@ def token_counts(docs: DataFrame, tokenizer_path: str, *, limit: int = 512, samp
     doc_ids stay as they are; other columns are ignored. An empty table gives
     an empty result.
     """
+    bound_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     frequent = Frequent(docs.sparkSession.sparkContext.broadcast(frequent_table(docs, tokenizer_path, sample_rows=sample_rows)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gc.disable()  # there are no cycles here, and walking the cache costs more than the lookups
-        counts = _counts(tokenizer_path, frequent.key, frequent)
-        for batch in batches:
-            numbers = pa.array(list(counts.batch(batch.column(1).to_pylist())), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), numbers], names=["row", "n_tokens"])
+        with without_gc():  # walking the caches costs more than the lookups
+            counts = _counts(tokenizer_path, frequent.key, frequent)
+            for batch in batches:
+                numbers = pa.array(list(counts.batch(batch.column(1).to_pylist())), pa.int64())
+                yield pa.RecordBatch.from_arrays([batch.column(0), numbers], names=["row", "n_tokens"])
 
     bytes_and_text = docs.select("doc_id", "text")
     counted = bytes_and_text.select(F.struct("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes")).alias("row"), "text").mapInArrow(run, f"row struct<doc_id: {dict(docs.dtypes)['doc_id']}, n_bytes: bigint>, n_tokens bigint")

@@ -21,7 +21,6 @@ neither gaps nor doubles.
 
 from __future__ import annotations
 
-import gc
 import os
 import struct
 import zlib
@@ -35,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .bpe import BATCH_CHARS, MARKS, PLAIN_LIMIT, Generations, byte_alphabet
-from .common import shared_dir
+from .common import bound_batches, shared_dir, without_gc
 
 MAGIC = b"PFR1"
 BLOCK = 1024
@@ -230,27 +229,27 @@ def write_store(docs: DataFrame, path: str, tokenizer_path: str, *, end_id: int)
     kind = dict(docs.dtypes)["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gc.disable()  # no cycles here, and walking the cache costs more than the lookups
-        encoder, part = _words(tokenizer_path), TaskContext.get().partitionId()
-        end = np.array([end_id], "<u4").tobytes()
-        segment, in_part, ids, raw, size = 0, 0, [], [], 0
-
-        def row() -> pa.RecordBatch:
-            tokens = np.frombuffer(b"".join(raw), "<u4")
-            columns = [pa.array([part], pa.int32()), pa.array([segment], pa.int32()), pa.array([in_part], pa.int64()), pa.array([ids], pa.list_(id_type)), pa.array([[len(x) // 4 for x in raw]], pa.list_(pa.int64())), pa.array([len(tokens)], pa.int64()), pa.array([encode_segment(tokens)], pa.binary())]
-            return pa.RecordBatch.from_arrays(columns, names=["part", "segment", "in_part", "doc_ids", "sizes", "n_ids", "data"])
-
-        for batch in batches:
-            id_type = batch.schema.field(0).type
-            for doc_id, tokens in zip(batch.column(0).to_pylist(), encoder.batch(batch.column(1).to_pylist()), strict=True):
-                ids.append(doc_id)
-                raw.append(tokens + end)
-                size += len(tokens) // 4 + 1
-                if size >= SEGMENT_IDS:
-                    yield row()
-                    segment, in_part, ids, raw, size = segment + 1, in_part + size, [], [], 0
-        if ids:
-            yield row()
+        with without_gc():  # walking the caches costs more than the lookups
+            encoder, part = _words(tokenizer_path), TaskContext.get().partitionId()
+            end = np.array([end_id], "<u4").tobytes()
+            segment, in_part, ids, raw, size = 0, 0, [], [], 0
+
+            def row() -> pa.RecordBatch:
+                tokens = np.frombuffer(b"".join(raw), "<u4")
+                columns = [pa.array([part], pa.int32()), pa.array([segment], pa.int32()), pa.array([in_part], pa.int64()), pa.array([ids], pa.list_(id_type)), pa.array([[len(x) // 4 for x in raw]], pa.list_(pa.int64())), pa.array([len(tokens)], pa.int64()), pa.array([encode_segment(tokens)], pa.binary())]
+                return pa.RecordBatch.from_arrays(columns, names=["part", "segment", "in_part", "doc_ids", "sizes", "n_ids", "data"])
+
+            for batch in batches:
+                id_type = batch.schema.field(0).type
+                for doc_id, tokens in zip(batch.column(0).to_pylist(), encoder.batch(batch.column(1).to_pylist()), strict=True):
+                    ids.append(doc_id)
+                    raw.append(tokens + end)
+                    size += len(tokens) // 4 + 1
+                    if size >= SEGMENT_IDS:
+                        yield row()
+                        segment, in_part, ids, raw, size = segment + 1, in_part + size, [], [], 0
+            if ids:
+                yield row()
 
     ordered = docs.select("doc_id", "text").repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
     ordered.mapInArrow(run, f"part int, segment int, in_part bigint, doc_ids array<{kind}>, sizes array<bigint>, n_ids bigint, data binary").write.option("compression", "none").parquet(path)
