@@ -1,7 +1,7 @@
 """MinHash near-duplicates with tensored banding; every link is verified on full sets.
 
-A document's set are the hashes of its distinct word shingles. Equal sets
-form a class, and only a class's smallest doc_id goes on.
+A document's set are the 64-bit hashes of its distinct word shingles. Equal
+sets form a class, and only classes go on: copies are never compared.
 
 *Tensored banding.* Two small collections of bands are computed, each of
 ``BANDS`` bands of ``ROWS`` minhashes. A table's key combines one band of the
@@ -11,14 +11,19 @@ first collection with one of the second: BANDS**2 tables of 2*ROWS rows out of
 table with a probability of 4e-4, of 0.85 with 2e-5, of 0.9 with 3e-7
 (computed for ideal minhashes).
 
-*Verification without all pairs.* Documents that share a key are compared in
-rounds: each document meets a few centres of its buckets, what is linked becomes
-one component, and in the next round only documents meet a centre of another
-component. In the end documents of *different* components
-that share a key are compared with each other, so that no candidate is left
-out; copies linked before are not compared again. Pairs are first tested by
-set size and by 128 sampled bits (at similarity 0.8 the test fails with a
-probability of 3e-7), then on their whole sets.
+*Verification without all pairs.* Classes that share a key are compared in two
+steps, both on whole sets:
+
+1. in ``ROUNDS`` rounds each class meets the centres of its buckets that it
+   shares the most tables with. What is linked becomes one component, so that
+   a group of near copies costs a few comparisons for each copy;
+2. classes that still share a key with another component take part in a prefix
+   join: elements are ordered by how many of these classes hold them, rarest
+   first, and two sets that are linked share an element among their rarest.
+   Only pairs of different components are made, and only where the places of
+   the element leave room for the overlap that a link needs. What two copies
+   have in common with their group stands last in this order, so a group's
+   size does not multiply pairs. No pair that could be a link is left out.
 """
 
 from __future__ import annotations
@@ -31,20 +36,17 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import bound_batches, materialize
 from .components import components
 
 BANDS, ROWS = 12, 3
-BITS = 128
-#: Of 128 bits so many agree at least; the binomial tail below it at similarity 0.8 is 2.8e-7.
-LEAST_BITS = 96
-#: Rounds with centres at most, and centres that a document meets in each. A round without a link is the last.
-MAX_ROUNDS, CENTRES = 4, 3
-#: Rows of two numbers up to which ids are broadcast (64 MB).
+#: Rounds with centres at most, and centres that a class meets in each. A round without a link is the last.
+ROUNDS, CENTRES = 2, 3
+#: Rows of a few numbers up to which a table is broadcast (about 64 MB).
 BROADCAST_IDS = 2_000_000
 
 _rng = np.random.default_rng(20240229)
-_SEEDS = _rng.integers(1, 2**63, BITS + 2 * BANDS * ROWS, dtype=np.uint64)
+_SEEDS = _rng.integers(1, 2**63, 2 * BANDS * ROWS, dtype=np.uint64)
 _ODD = _rng.integers(1, 2**63, len(_SEEDS), dtype=np.uint64) | np.uint64(1)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -78,8 +80,8 @@ def shingles(text: str | None, words_each: int, cache: dict) -> np.ndarray:
     return np.unique(out)
 
 
-def sketch(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The bands (both collections, as 64-bit numbers) and two 64-bit words of sampled bits."""
+def band_hashes(values: np.ndarray) -> np.ndarray:
+    """The bands of both collections, as 64-bit numbers."""
     least = np.empty(len(_SEEDS), np.uint64)
     with np.errstate(over="ignore"):
         for k in range(0, len(values), 4096):
@@ -88,34 +90,33 @@ def sketch(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             x *= _MIX
             low = x.min(axis=0)
             least = low if k == 0 else np.minimum(least, low)
-        rows = least[BITS:].reshape(2 * BANDS, ROWS)
+        rows = least.reshape(2 * BANDS, ROWS)
         bands = np.zeros(2 * BANDS, np.uint64)
         for k in range(ROWS):
             bands = (bands ^ rows[:, k]) * _MIX
             bands ^= bands >> np.uint64(31)
-        bits = np.packbits(((least[:BITS] * _MIX) >> np.uint64(63)).astype(np.uint8)).view(np.uint64)
-    return bands, bits
+    return bands
 
 
-def sketches(docs: DataFrame, words_each: int) -> DataFrame:
-    """doc_id, n_shingles, digest (two numbers), shingles (32 bits each), bands and bits of each document."""
+def sketches(docs: DataFrame, words_each: int, *, whole: bool = False) -> DataFrame:
+    """doc_id, n_shingles, digest (two numbers) and bands of each document; with ``whole`` its set instead of the bands."""
+    last, number = ("shingles", pa.int64()) if whole else ("bands", pa.int64())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = _Words()
         for batch in batches:
             for part in (batch.slice(k, 512) for k in range(0, batch.num_rows, 512)):
                 rows = []
-                for text in part.column(1).to_pylist():
-                    s = shingles(text, words_each, cache)
-                    d = np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), np.int64)
-                    bands, bits = sketch(s) if len(s) else (np.zeros(0, np.uint64), np.zeros(2, np.uint64))
-                    rows.append((len(s), d[0], d[1], (s >> np.uint64(32)).astype(np.uint32).view(np.int32), bands.view(np.int64), *bits.view(np.int64)))
-                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.int64(), pa.int64()]
-                columns = [pa.array(list(c), k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays([part.column(0), *columns], names=["doc_id", "n", "d1", "d2", "shingles", "bands", "b1", "b2"])
-
+                for text in part.column(1):
+                    s = shingles(text.as_py(), words_each, cache)
+                    digest = np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), np.int64)
+                    rows.append((len(s), digest[0], digest[1], (s if whole or not len(s) else band_hashes(s)).view(np.int64)))
+                columns = [pa.array(list(c), k) for c, k in zip(zip(*rows, strict=True), [pa.int64(), pa.int64(), pa.int64(), pa.list_(number)], strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column(0), *columns], names=["doc_id", "n", "d1", "d2", last])
+
+    bound_batches(docs.sparkSession)
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n bigint, d1 bigint, d2 bigint, shingles array<int>, bands array<bigint>, b1 bigint, b2 bigint")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n bigint, d1 bigint, d2 bigint, {last} array<bigint>")
 
 
 def table_keys(bands: Column) -> Column:
@@ -124,93 +125,142 @@ def table_keys(bands: Column) -> Column:
     return F.flatten(F.transform(first, lambda a, i: F.transform(second, lambda b, j: F.xxhash64(a, b, i * BANDS + j))))
 
 
-def _likely(a: str, b: str, percent: int) -> Column:
-    """Set sizes and sampled bits of the structs ``a`` and ``b`` leave room for a link."""
-    get = lambda s, f: F.col(f"{s}.{f}")
-    sizes = (100 * get(a, "n") >= percent * get(b, "n")) & (100 * get(b, "n") >= percent * get(a, "n"))
-    differ = F.bit_count(get(a, "b1").bitwiseXOR(get(b, "b1"))) + F.bit_count(get(a, "b2").bitwiseXOR(get(b, "b2")))
-    return sizes & (differ <= BITS - LEAST_BITS)
-
-
-def small(ids: DataFrame) -> DataFrame:
-    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+def small(table: DataFrame) -> DataFrame:
+    """Broadcast a table of few numbers a row, if it has few rows."""
+    return F.broadcast(table) if table.count() <= BROADCAST_IDS else table
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (u, v) whose whole sets (doc_id, shingles) are similar enough."""
-    needed = materialize(pairs.select(F.col("u").alias("id")).union(pairs.select("v")).distinct(), "needed")
-    own = sets.join(small(needed), F.col("doc_id") == F.col("id"), "left_semi")
-    u, v = (own.select(F.col("doc_id").alias(k), F.col("shingles").alias(f"set_{k}")) for k in "uv")
+    """The pairs (u, v) whose whole sets (id, n, shingles) are similar enough."""
+    u, v = (sets.select(F.col("id").alias(k), F.col("shingles").alias(f"set_{k}")) for k in "uv")
     common = F.size(F.array_intersect("set_u", "set_v"))
     met = pairs.join(u, "u").join(v, "v").select("u", "v", common.alias("c"), (F.size("set_u") + F.size("set_v")).alias("both"))
     return met.where(100 * F.col("c") >= percent * (F.col("both") - F.col("c"))).select("u", "v")
 
 
+def _near_sizes(a: str, b: str, percent: int) -> Column:
+    return (100 * F.col(a) >= percent * F.col(b)) & (100 * F.col(b) >= percent * F.col(a))
+
+
+def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Rows (key, id, n) with the component of their class."""
+    if labels is None:
+        return rows.select("*", F.col("id").alias("component"))
+    joined = rows.join(small(labels.select(F.col("id").alias("of_id"), "component")), F.col("id") == F.col("of_id"), "left")
+    return joined.select(*rows.columns, F.coalesce("component", "id").alias("component"))
+
+
+def _mixed(rows: DataFrame) -> DataFrame:
+    """The keys under which rows of several components lie."""
+    return rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
+
+
+def centre_pairs(rows: DataFrame, round_no: int, percent: int) -> DataFrame:
+    """(u, v): each class with the few centres of other components that it shares the most tables with.
+
+    A bucket's centre is the class that a hash of the round ranks first, so
+    all buckets of a group of copies have few centres.
+    """
+    me = F.struct(F.xxhash64(F.lit(round_no), "id").alias("rank"), "id", "n", "component")
+    centres = rows.groupBy("key").agg(F.min(me).alias("centre"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key", "centre")
+    met = rows.join(centres, "key").where((F.col("component") != F.col("centre.component")) & _near_sizes("n", "centre.n", percent))
+    met = met.groupBy(F.col("id").alias("u"), F.col("centre.id").alias("v"), F.col("centre.rank").alias("rank")).agg(F.count("*").alias("tables"))
+    # a class has no more centres than tables, so the lists are bounded
+    few = met.groupBy("u").agg(F.slice(F.sort_array(F.collect_list(F.struct((-F.col("tables")).alias("far"), "rank", "v"))), 1, CENTRES).alias("its"))
+    return few.select("u", F.explode("its.v").alias("v"))
+
+
+def prefix_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(u, v): all pairs of different components that may be links, by a prefix join over (id, component).
+
+    A set's elements are ordered by how many members hold them, then by value.
+    A link needs percent / (100 + percent) of both sizes as overlap, hence
+    shares an element among the n - ceil(n * percent / 100) + 1 first of each,
+    and behind the first one shared both have enough elements left.
+    """
+    elements = sets.join(small(members), "id").select("id", "component", "n", F.explode("shingles").alias("e"))
+    held = elements.groupBy("e").agg(F.count("*").alias("held")).where("held > 1")
+    ranked = elements.join(held, "e").groupBy("id", "component", "n").agg(F.sort_array(F.collect_list(F.struct("held", "e"))).alias("shared"))
+    # elements that no other member holds come first; they only take places
+    alone = F.col("n") - F.size("shared")
+    prefix = F.col("n") - F.floor((F.col("n") * percent + 99) / 100) + 1
+    listed = ranked.select("id", "component", "n", alone.alias("alone"), F.posexplode(F.slice("shared", F.lit(1), F.greatest(prefix - alone, F.lit(0)).cast("int"))).alias("k", "s"))
+    listed = materialize(listed.select("id", "component", "n", (F.col("n") - F.col("alone") - F.col("k")).alias("left"), F.col("s.e").alias("e")), "prefixes")
+    # the component that holds an element most often is never compared with itself
+    most = listed.groupBy("e", "component").agg(F.count("*").alias("times")).groupBy("e").agg(F.max_by("component", F.struct("times", "component")).alias("main"), F.count("*").alias("several")).where("several > 1").select("e", "main")
+    listed = listed.join(most, "e")
+    a = listed.where("component <> main").select("e", *(F.col(c).alias(f"{c}_a") for c in ("id", "component", "n", "left")))
+    b = listed.select("e", "main", *(F.col(c).alias(f"{c}_b") for c in ("id", "component", "n", "left")))
+    once = (F.col("component_b") == F.col("main")) | (F.col("component_a") < F.col("component_b"))
+    room = F.least("left_a", "left_b") * (100 + percent) >= percent * (F.col("n_a") + F.col("n_b"))
+    met = a.join(b, (a["e"] == b["e"]) & once & room & _near_sizes("n_a", "n_b", percent))
+    return met.select(F.least("id_a", "id_b").alias("u"), F.greatest("id_a", "id_b").alias("v")).distinct()
+
+
+def _same_documents(rows: DataFrame, classes: DataFrame) -> DataFrame | None:
+    """(u, v): classes that one doc_id with several texts belongs to; None if there are none."""
+    digest = F.struct("d1", "d2")
+    several = rows.groupBy("doc_id").agg(F.min(digest).alias("low"), F.max(digest).alias("high")).where("low <> high").select("doc_id")
+    several = materialize(several, "several")
+    if several.isEmpty():
+        return None
+    own = rows.join(several, "doc_id").select("doc_id", "d1", "d2").distinct().join(classes.select("d1", "d2", "id"), ["d1", "d2"])
+    least = own.groupBy("doc_id").agg(F.min("id").alias("u"))
+    return own.join(least, "doc_id").select("u", F.col("id").alias("v")).where("u <> v")
+
+
 def near_duplicates(docs: DataFrame, *, words_each: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of (doc_id, text).
 
     Documents are linked if 100 * common shingles >= ``percent`` * all shingles
     of both. component_id is the smallest doc_id that links reach; that
-    document is kept. Documents without words are linked with nothing. Rows
-    with the same doc_id are the same document to the links. A null doc_id has
-    a null component_id, links nothing and is kept. Other columns are ignored;
-    an empty table gives no rows.
+    document is kept. Null and empty texts, and others without words, are
+    linked with nothing; texts are read whole, however long. Rows with the
+    same doc_id are the same document, so one with several texts has the links
+    of all of them. A null doc_id has a null component_id, links nothing and is
+    kept. Other columns are ignored; an empty table gives no rows.
     """
     all_rows = materialize(sketches(docs, words_each), "sketches")
     some = all_rows.where("n > 0 and doc_id is not null")
-    classes = materialize(some.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep")), "classes")
-    chosen = some.select("doc_id", "d1", "d2", "n", "b1", "b2", "bands").join(classes.withColumnRenamed("rep", "doc_id"), ["doc_id", "d1", "d2"])
-    chosen = materialize(chosen.select("doc_id", "n", "b1", "b2", "bands").dropDuplicates(["doc_id"]), "chosen")
-    sets = all_rows.select("doc_id", "shingles")
-
-    me = F.struct(F.xxhash64("doc_id").alias("rank"), F.col("doc_id").alias("id"), "n", "b1", "b2")
-    keyed = chosen.select(me.alias("me"), F.explode(table_keys(F.col("bands"))).alias("key"))
-    shared = keyed.groupBy("key").agg(F.min("me.id").alias("low"), F.max("me.id").alias("high")).where("low <> high").select("key")
-    rows = materialize(keyed.join(materialize(shared, "shared-keys"), "key"), "bucket-rows")
-
-    links: DataFrame | None = None
-    labels: DataFrame | None = None
-    for round_no in range(MAX_ROUNDS):
-        own = _labelled(rows, labels).withColumn("rank", F.xxhash64(F.lit(round_no), "me.id"))
-        centres = own.groupBy("key").agg(F.min(F.struct("rank", "me", "component")).alias("centre"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key", "centre")
-        met = own.join(materialize(centres, "centres"), "key").where((F.col("component") != F.col("centre.component")))
-        met = met.select("me", F.col("centre.me").alias("it"), F.col("centre.rank").alias("it_rank")).where(_likely("me", "it", percent))
-        # a document has no more centres than tables, so the sets are bounded
-        few = met.groupBy(F.col("me.id").alias("u")).agg(F.slice(F.array_sort(F.collect_set(F.struct("it_rank", "it.id"))), 1, CENTRES).alias("its"))
-        pairs = materialize(few.select("u", F.explode("its.id").alias("v")), "pairs")
-        tried = pairs.count()
-        if not tried:
-            break
+    classes = some.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("members"), F.first("n").alias("n"), F.first("bands").alias("bands"))
+    classes = materialize(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
+
+    # one exchange by key serves the search for shared keys and the join with them
+    placed = classes.select("id", "n", F.explode(table_keys(F.col("bands"))).alias("key")).repartition("key")
+    shared = placed.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.min("n").alias("least")).where("low <> high").select("key")
+    rows = materialize(placed.join(shared.hint("shuffle_hash"), "key"), "bucket-rows")
+    wanted = materialize(classes.drop("bands").join(small(rows.select("id").distinct()), "id", "left_semi").select("id", "d1", "d2", F.col("rep").alias("doc_id")), "wanted")
+    again = docs.select("doc_id", "text").join(small(wanted.select("doc_id").distinct()), "doc_id", "left_semi")
+    sets = sketches(again, words_each, whole=True).join(small(wanted), ["doc_id", "d1", "d2"]).select("id", "n", "shingles").dropDuplicates(["id"])
+    sets = materialize(sets, "sets")
+
+    links = _same_documents(some, classes)
+    labels = None if links is None else materialize(components(links), "labels")
+
+    def link(found: DataFrame) -> DataFrame:
+        known = found if labels is None else found.union(labels.select(F.col("id").alias("u"), F.col("component").alias("v")))
+        return materialize(components(known), "labels")
+
+    for round_no in range(ROUNDS):
+        pairs = materialize(centre_pairs(_labelled(rows, labels), round_no, percent), "pairs")
         found = materialize(verified(pairs, sets, percent), "links")
-        linked = found.count()
-        if linked:
-            links = found if links is None else links.union(found)
-            labels = materialize(components(links), "labels")
-            links = labels.select(F.col("id").alias("u"), F.col("component").alias("v"))
-        if not linked:
+        if found.isEmpty():
             break
+        labels = link(found)
     rest = _labelled(rows, labels)
-    mixed = rest.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
-    rest = rest.join(mixed, "key")
-    a, b = rest.select("key", F.col("me").alias("a"), F.col("component").alias("ca")), rest.select("key", F.col("me").alias("b"), F.col("component").alias("cb"))
-    pairs = a.join(b, (a["key"] == b["key"]) & (F.col("ca") < F.col("cb")) & _likely("a", "b", percent)).select(F.col("a.id").alias("u"), F.col("b.id").alias("v")).distinct()
-    pairs = materialize(pairs, "pairs")
+    members = materialize(rest.join(_mixed(rest), "key").select("id", "component").distinct(), "members")
+    pairs = materialize(prefix_pairs(members, sets, percent), "pairs")
     if not pairs.isEmpty():
         found = materialize(verified(pairs, sets, percent), "links")
         if not found.isEmpty():
-            labels = materialize(components(found if links is None else found.union(links)), "labels")
-    by_class = classes.select("d1", "d2", "rep")
-    if labels is not None:
-        by_class = by_class.join(labels, F.col("rep") == F.col("id"), "left").select("d1", "d2", F.coalesce("component", "rep").alias("rep"))
-    known = materialize(by_class, "class-components").select(F.col("d1").alias("k1"), F.col("d2").alias("k2"), "rep")
-    out = all_rows.select("doc_id", "n", "d1", "d2").join(known, (F.col("d1") == F.col("k1")) & (F.col("d2") == F.col("k2")) & (F.col("n") > 0) & F.col("doc_id").isNotNull(), "left")
+            labels = link(found)
+
+    by_class = classes.select("id", "d1", "d2", "rep", "members").where("members > 1") if labels is None else None
+    if by_class is None:
+        own = classes.select("id", "d1", "d2", "rep", "members").join(labels.withColumnRenamed("id", "of_id"), F.col("id") == F.col("of_id"), "left").where("members > 1 or component is not null")
+        least = own.where("component is not null").groupBy("component").agg(F.min("rep").alias("least"))
+        by_class = own.join(least, "component", "left").select("d1", "d2", F.coalesce("least", "rep").alias("rep"))
+    known = materialize(by_class.select(F.col("d1").alias("k1"), F.col("d2").alias("k2"), "rep"), "class-components")
+    out = all_rows.select("doc_id", "n", "d1", "d2").join(small(known), (F.col("d1") == F.col("k1")) & (F.col("d2") == F.col("k2")) & (F.col("n") > 0) & F.col("doc_id").isNotNull(), "left")
     component = F.coalesce("rep", "doc_id")
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
-
-
-def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Rows (key, me) with the component of their document."""
-    if labels is None:
-        return rows.select("key", "me", F.col("me.id").alias("component"))
-    joined = rows.join(small(labels), F.col("me.id") == F.col("id"), "left")
-    return joined.select("key", "me", F.coalesce("component", "me.id").alias("component"))
