@@ -26,6 +26,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bpe import BATCH_CHARS, MARKS, PLAIN_LIMIT, Generations, byte_alphabet
+from .bpe import CACHE_ENTRIES, MARKS, PLAIN_LIMIT, byte_alphabet
 from .common import bound_batches, shared_dir, without_gc
 
 MAGIC = b"PFR1"
@@ -42,8 +43,9 @@ BLOCK = 1024
 SEGMENT_IDS = 1 << 18
 #: Percentiles of the bit lengths that are tried as width.
 PERCENTILES = (50, 75, 85, 90, 95, 98, 100)
-#: Of white space for Python, but not for the tokenizer.
-NOT_WHITE = "\x1c\x1d\x1e\x1f"
+#: Kinds of bytes: white space, letters (beyond ASCII all bytes), marks, others.
+_WHITE, _LETTER, _MARK, _OTHER = range(4)
+_KIND = np.array([_WHITE if b in b" \t\n\x0b\x0c\r" else _LETTER if b >= 0x80 or chr(b).isalpha() else _MARK if chr(b) in MARKS else _OTHER for b in range(256)], np.uint8)
 
 
 _LENGTHS = np.array([k.bit_length() for k in range(1 << 16)], np.uint8)
@@ -136,16 +138,26 @@ def decode_segment(data: bytes, first: int = 0, n: int | None = None) -> np.ndar
     return got[first - low * BLOCK :][:n]
 
 
+def _after_letter(data: np.ndarray) -> np.ndarray:
+    """For each byte but the first: does a letter stand before it that stays one in lower case, of ASCII or Latin (U+00C0 to U+023F)?"""
+    lead = np.append(np.uint8(0), data[:-2]) if len(data) > 1 else data[:0]
+    last = data[:-1]
+    odd = (lead == 0xC3) & ((last == 0x97) | (last == 0xB7)) | (lead == 0xC4) & (last == 0xB0)  # two signs, and one that gets a mark of its own
+    latin = (lead >= 0xC3) & (lead <= 0xC8) & (last >= 0x80) & ~odd
+    return (_KIND[last] == _LETTER) & (last < 0x80) | latin
+
+
 class WordEncoder:
-    """Ids of whole texts by a tokenizer that drops white space: exact for each word by itself.
+    """Ids of whole texts by a tokenizer that drops white space: exact for each piece by itself.
 
-    Words not met before go to the library: those of plain letters, less the
-    marks behind them, straight to its BPE model (for them its normalizer only
-    makes lower case, and its pre-tokenizer leaves letters and marks as one
-    piece each), all others through the whole library.
+    A batch is cut at ASCII white space, all texts at once. Words of letters
+    with marks behind are cut once more before the marks, as the tokenizer's
+    pre-tokenizer does, and made lower case, as its normalizer does. Each
+    distinct piece of the batch is looked up once; new ones go to the library,
+    those of plain letters straight to its BPE model, others through all of it.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, entries: int = CACHE_ENTRIES):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
@@ -153,64 +165,75 @@ class WordEncoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.alphabet = {b: c for c, b in byte_alphabet().items()}
-        self.cache, self.stems = Generations(), Generations()
-
-    def learn(self, words: set[str]) -> None:
-        self.cache.make_room(len(words))
-        new = self.cache.missing(words)
-        parts = [self._parts(w) for w in new]
-        wanted = {p for own in parts for p in own}
-        self.stems.make_room(len(wanted))
+        self.entries = entries
+        self._forget()
+
+    def _forget(self) -> None:
+        """Start with empty tables: the place of each piece, and where the ids of each place lie."""
+        self.places: dict[str, int] = {}
+        self.ids, self.starts = np.zeros(0, "<u4"), np.zeros(1, np.int64)
+
+    def _learn(self, pieces: list[str]) -> None:
         plain, odd = [], []
-        for p in self.stems.missing(wanted):
-            (plain if p[0] else odd).append(p)
-        ids = self.stems.young
-        ids.update((p, self._letters(p[1])) for p in plain)
-        encoded = self.library.encode_batch_fast([p[1] for p in odd], add_special_tokens=False)
-        ids.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(odd, encoded, strict=True))
-        self.cache.young.update((w, ids[own[0]] if len(own) == 1 else ids[own[0]] + ids[own[1]]) for w, own in zip(new, parts, strict=True))
-
-    def _parts(self, word: str) -> list[tuple[bool, str]]:
-        """(is it of plain letters, piece) for the pieces that the word is encoded by."""
-        low = word.lower()
-        stem = low.rstrip(MARKS)
-        if not stem.isalpha() or max(low) >= PLAIN_LIMIT:
-            return [(False, word)]
-        return [(True, stem)] if len(stem) == len(low) else [(True, stem), (False, low[len(stem) :])]
-
-    def _letters(self, stem: str) -> bytes:
-        shown = stem if stem.isascii() else "".join(map(self.alphabet.__getitem__, stem.encode()))
-        return np.array([t.id for t in self.library.model.tokenize(shown)], "<u4").tobytes()
-
-    def words(self, text: str) -> list[str]:
-        if any(c in text for c in NOT_WHITE):
-            return [w for w in text.replace("\n", " ").split(" ") if w]
-        return text.split()
-
-    def batch(self, texts: list[str | None]) -> Iterator[bytes]:
-        waiting: list[tuple[list[bytes | None], list[int], list[str]]] = []
-        wanted: set[str] = set()
-        size = 0
-        for text in texts:
-            words = self.words(text or "")
-            values = list(map(self.cache.young.get, words))
-            places = [k for k, v in enumerate(values) if v is None] if None in values else []
-            new = [words[k] for k in places]
-            wanted.update(new)
-            waiting.append((values, places, new))
-            size += len(text or "")
-            if size >= BATCH_CHARS:
-                yield from self._flush(waiting, wanted)
-                waiting, wanted, size = [], set(), 0
-        yield from self._flush(waiting, wanted)
-
-    def _flush(self, waiting: list, wanted: set[str]) -> Iterator[bytes]:
-        if wanted:
-            self.learn(wanted)
-        for values, places, new in waiting:
-            for k, word in zip(places, new, strict=True):
-                values[k] = self.cache.young[word]
-            yield b"".join(values)
+        for p in pieces:
+            (plain if (low := p.lower()).isalpha() and max(low) < PLAIN_LIMIT else odd).append(p)
+        tokenize, shown = self.library.model.tokenize, self.alphabet.__getitem__
+        found = [[t.id for t in tokenize(p if p.isascii() else "".join(map(shown, p.lower().encode())))] for p in plain]
+        found += [e.ids for e in self.library.encode_batch_fast(odd, add_special_tokens=False)]
+        self.places.update(zip(plain + odd, range(len(self.starts) - 1, len(self.starts) - 1 + len(found)), strict=True))
+        ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
+        flat = np.fromiter(chain.from_iterable(found), np.uint32, int(ends[-1]))
+        self.ids, self.starts = np.concatenate([self.ids, flat]), np.concatenate([self.starts, self.starts[-1] + ends])
+
+    def _look_up(self, pieces: list[str]) -> np.ndarray:
+        """The place of each piece."""
+        found = list(map(self.places.get, pieces))
+        if None in found:
+            if len(self.places) + found.count(None) > self.entries:
+                self._forget()
+                found = [None] * len(pieces)
+            self._learn([p for p, k in zip(pieces, found, strict=True) if k is None])
+            found = list(map(self.places.__getitem__, pieces))
+        return np.array(found, np.int64)
+
+    def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of whole texts, ``end_id`` behind each, and how many each has. Nulls count as empty."""
+        texts = texts.fill_null("").cast(pa.large_string())
+        if not len(texts):
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[bounds[0] : bounds[-1]]
+        bounds = bounds - bounds[0]
+        kinds = _KIND[data]
+        inside = kinds != _WHITE
+        first = inside.copy()
+        first[1:] &= ~inside[:-1]
+        begins = bounds[:-1][bounds[:-1] < bounds[1:]]
+        first[begins] = inside[begins]
+        # cut where marks follow a letter and fill the word up to its end
+        marked = kinds == _MARK
+        turns = np.flatnonzero(marked[1:] & _after_letter(data) & ~first[1:]) + 1
+        others = np.append(np.flatnonzero(~marked), len(data))
+        behind = others[np.searchsorted(others, turns)]
+        first[turns[(behind == len(data)) | ~np.append(inside, False)[behind] | np.append(first, True)[behind]]] = True
+        starts = np.flatnonzero(first)
+        ends = np.searchsorted(starts, bounds[1:])
+        letters = data[inside]
+        offsets = np.append((np.cumsum(inside) - 1)[starts], len(letters)).astype(np.int64)
+        upper = (letters >= 65) & (letters <= 90)
+        for k in np.unique(np.searchsorted(offsets, np.flatnonzero(letters == ord("<")), side="right") - 1):
+            upper[offsets[k] : offsets[k + 1]] = False  # the strings of special tokens are case-sensitive
+        letters[upper] += 32
+        pieces = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(letters)).dictionary_encode()
+        known = self._look_up(pieces.dictionary.to_pylist())
+        table = np.append(self.ids, np.uint32(end_id))
+        table_starts = np.append(self.starts[known], len(self.ids))
+        lengths = np.append(self.starts[known + 1] - self.starts[known], 1)
+        order = np.insert(pieces.indices.to_numpy(zero_copy_only=False), ends, len(known))
+        sizes = lengths[order]
+        total = np.cumsum(sizes)
+        ids = table[np.repeat(table_starts[order] - (total - sizes), sizes) + np.arange(total[-1])]
+        return ids, np.diff(total[ends + np.arange(len(ends))], prepend=0)
 
 
 @lru_cache(maxsize=2)
@@ -228,26 +251,30 @@ def write_store(docs: DataFrame, path: str, tokenizer_path: str, *, end_id: int)
     """
     kind = dict(docs.dtypes)["doc_id"]
 
+    bound_batches(docs.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with without_gc():  # walking the caches costs more than the lookups
             encoder, part = _words(tokenizer_path), TaskContext.get().partitionId()
-            end = np.array([end_id], "<u4").tobytes()
-            segment, in_part, ids, raw, size = 0, 0, [], [], 0
+            segment, in_part, ids, sizes, raw, held = 0, 0, [], [], [], 0
 
             def row() -> pa.RecordBatch:
-                tokens = np.frombuffer(b"".join(raw), "<u4")
-                columns = [pa.array([part], pa.int32()), pa.array([segment], pa.int32()), pa.array([in_part], pa.int64()), pa.array([ids], pa.list_(id_type)), pa.array([[len(x) // 4 for x in raw]], pa.list_(pa.int64())), pa.array([len(tokens)], pa.int64()), pa.array([encode_segment(tokens)], pa.binary())]
+                tokens = np.concatenate(raw)
+                columns = [pa.array([part], pa.int32()), pa.array([segment], pa.int32()), pa.array([in_part], pa.int64()), pa.array([ids], pa.list_(id_type)), pa.array([sizes], pa.list_(pa.int64())), pa.array([len(tokens)], pa.int64()), pa.array([encode_segment(tokens)], pa.binary())]
                 return pa.RecordBatch.from_arrays(columns, names=["part", "segment", "in_part", "doc_ids", "sizes", "n_ids", "data"])
 
             for batch in batches:
                 id_type = batch.schema.field(0).type
-                for doc_id, tokens in zip(batch.column(0).to_pylist(), encoder.batch(batch.column(1).to_pylist()), strict=True):
+                tokens, each = encoder.encode(batch.column(1), end_id)
+                at = 0
+                for doc_id, size in zip(batch.column(0).to_pylist(), each.tolist(), strict=True):
                     ids.append(doc_id)
-                    raw.append(tokens + end)
-                    size += len(tokens) // 4 + 1
-                    if size >= SEGMENT_IDS:
+                    sizes.append(size)
+                    raw.append(tokens[at : at + size])
+                    at, held = at + size, held + size
+                    if held >= SEGMENT_IDS:
                         yield row()
-                        segment, in_part, ids, raw, size = segment + 1, in_part + size, [], [], 0
+                        segment, in_part, ids, sizes, raw, held = segment + 1, in_part + held, [], [], [], 0
             if ids:
                 yield row()
 

@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -45,8 +46,11 @@ def test_pairs_decide_validity():
 
 def test_words_equal_library():
     own, library = token_store.WordEncoder(WORD), Tokenizer.from_file(WORD)
-    for text, ids in zip(texts(), own.batch(texts()), strict=True):
-        assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    some = [None, "", *texts(), " ", None, "a b"]
+    for given in (some, texts(40, 9), [], ["", None], ["\n"]):
+        ids, sizes = own.encode(pa.array([*given, "cut off"], pa.string()).slice(0, len(given)), 2)
+        want = [[*library.encode(t or "", add_special_tokens=False).ids, 2] for t in given]
+        assert sizes.tolist() == list(map(len, want)) and ids.tolist() == [x for own_ids in want for x in own_ids]
 
 
 @pytest.mark.parametrize("n", [0, 1, 1023, 1024, 1025, 5000])
