@@ -71,13 +71,20 @@ def price_columns(stats: DataFrame, support: int = 3, small_share: float = 0.7)
     return stats.where((F.col("numbers") >= support) & (F.col("small") < small_share * F.col("numbers")))
 
 
-def cooccurrence(cells: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, code_col, price_col, n): rows where one column has a code and the other a price."""
+def cooccurrence(cells: DataFrame, keys: list[str], other: str = "price") -> DataFrame:
+    """(keys, code_col, ``other``_col, n): rows where one column has a code and another a price, or a pack."""
     v = strip(F.col("cell"))
-    flat = cells.select(*keys, "row_idx", "col_idx", is_code_line(v).alias("code"), parse_price(v).isNotNull().alias("number"))
+    second = parse_price(v).isNotNull() if other == "price" else clean_pack(v) != ""
+    flat = cells.select(*keys, "row_idx", "col_idx", is_code_line(v).alias("code"), second.alias("second"))
     codes = flat.where("code").select(*keys, "row_idx", F.col("col_idx").alias("code_col"))
-    numbers = flat.where("number").select(*keys, "row_idx", F.col("col_idx").alias("price_col"))
-    return codes.join(numbers, [*keys, "row_idx"]).groupBy(*keys, "code_col", "price_col").agg(F.count("*").alias("n"))
+    others = flat.where("second").select(*keys, "row_idx", F.col("col_idx").alias(f"{other}_col"))
+    met = codes.join(others, [*keys, "row_idx"]).where(F.col("code_col") != F.col(f"{other}_col"))
+    return met.groupBy(*keys, "code_col", f"{other}_col").agg(F.count("*").alias("n"))
+
+
+def first_filled_row(matrix: Column) -> Column:
+    """The first row of a matrix with a cell that is not blank; an empty row if there is none."""
+    return F.coalesce(F.get(F.filter(matrix, lambda row: F.exists(row, lambda c: F.coalesce(strip(c), F.lit("")) != "")), F.lit(0)), F.array().cast("array<string>"))
 
 
 def nearest(target: Column, choices: Column, prefer_right: bool = False) -> Column:

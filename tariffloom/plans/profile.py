@@ -75,11 +75,24 @@ def read_profile(path: str | Path) -> Profile:
     return Profile(synonyms, weights)
 
 
-def find_profile(document: str, folder: str | Path, explicit: str | Path | None = None) -> Profile:
-    """The profile given, else the one named like the document, else default.json, else the built-in one."""
+def read_keyword_weights(path: str | Path) -> dict[str, int]:
+    """Overrides of keyword weights from a JSON object; entries that are no words with whole numbers are left out."""
+    data = json.loads(Path(path).read_text(encoding="utf-8"))
+    if not isinstance(data, dict):
+        raise ValueError(f"keyword weights are a JSON object: {path}")
+    return {k.strip().lower(): w for k, w in data.items() if k.strip() and isinstance(w, int)}
+
+
+def find_profile(document: str, folder: str | Path, explicit: str | Path | None = None, *, required: bool = False) -> Profile:
+    """The profile given, else the one named like the document, else default.json.
+
+    If there is none, the built-in one, or, with ``required``, an error.
+    """
     if explicit:
         return read_profile(explicit)
     for name in (Path(document).stem, "default"):
         if (path := Path(folder) / f"{name}.json").is_file():
             return read_profile(path)
+    if required:
+        raise FileNotFoundError(f"no header profile for {document} in {folder}")
     return Profile()

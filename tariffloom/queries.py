@@ -79,20 +79,14 @@ def parse_price(spark, sf_dir):
     return given(spark, sf_dir, PRICE_TEXTS).select("id", "v", prices.parse_price(F.col("v")).alias("price"))
 
 
-@query(f"""
-select id, case when cast(tail as double) >= 50 then cast(tail as double) end as trailing, cast(inline as double) as inline_price, coalesce(inline_pack, '') as inline_pack
-from (select id, nullif(regexp_extract(flat, '(?:^|[^A-Za-z0-9])([0-9]+(?:[.][0-9]+)?)$', 1), '') as tail,
-             nullif(regexp_extract(flat, '(?:^|[^0-9])([0-9]+) ([0-9]{{1,2}}/[0-9]{{1,3}})$', 1), '') as inline,
-             nullif(regexp_extract(flat, '(?:^|[^0-9])([0-9]+) ([0-9]{{1,2}}/[0-9]{{1,3}})$', 2), '') as inline_pack
-      from (select id, trim(regexp_replace(v, '\\s+', ' ', 'g')) as flat from ({PRICE_TEXTS}) i where id % 12 in (0, 4, 7, 11)) a) b
+@query("""
+select id, case id % 12 when 0 then cast(cast(p as decimal(12,2)) as double) when 1 then k * 1000 + r + 0.5 when 2 then big_r when 4 then i when 6 then big_r when 9 then i when 10 then big_r when 11 then big_pack end as trailing,
+       cast(case when id % 12 = 11 then i end as double) as inline_price, case when id % 12 = 11 then concat('1/', cast(10 + id % 90 as varchar)) else '' end as inline_pack
+from (select *, case when r >= 50 then r end as big_r, case when 10 + id % 90 >= 50 then 10 + id % 90 end as big_pack
+      from (select p_partkey as id, p_retailprice as p, i, i // 1000 as k, i % 1000 as r from (select p_partkey, p_retailprice, p_partkey * 37 % 90000 + 1000 as i from part) a) b) c
 """)
 def text_prices(spark, sf_dir):
-    """Only the shapes that its SQL can read; ``text_prices_all`` judges every row."""
-    return text_prices_all(spark, sf_dir).where("id % 12 in (0, 4, 7, 11)")
-
-
-@query()
-def text_prices_all(spark, sf_dir):
+    """Trailing and inline prices of all twelve shapes; the SQL knows what was put into each."""
     rows = given(spark, sf_dir, PRICE_TEXTS)
     inline = prices.inline_price_and_pack(F.col("v"))
     return rows.select("id", prices.trailing_price(F.col("v")).alias("trailing"), inline["price"].alias("inline_price"), F.coalesce(inline["pack"], F.lit("")).alias("inline_pack"))
@@ -272,6 +266,41 @@ def triage_top_pages(spark, sf_dir):
     return triage.candidates(given(spark, sf_dir, PAGES), never, weights=WORDS, max_pages=5)
 
 
+TOKEN_TEXTS = """
+select p_partkey as id, case p_partkey % 6
+    when 0 then concat('AB', cast(400000 + p_partkey as string), ' ', cast(10000 + p_partkey as string), ' x')
+    when 1 then concat(cast(10000 + p_partkey as string), ' ', cast(20000 + p_partkey as string))
+    when 2 then 'Power supply'
+    when 3 then concat(cast(10000 + p_partkey as string), chr(10), 'ABCDE')
+    when 4 then concat('Power ', cast(10000 + p_partkey as string))
+    else repeat(concat(' AB', cast(400000 + p_partkey as string), ' 120'), cast(p_partkey % 30 as int)) end as text
+from part
+"""
+
+
+@query(f"select id, cast(case id % 6 when 0 then 2 when 4 then 1 when 5 then id % 30 else 0 end as int) as codes from ({TOKEN_TEXTS}) t")
+def code_tokens(spark, sf_dir):
+    """Tokens with a letter and a digit from their start to the line's end."""
+    return given(spark, sf_dir, TOKEN_TEXTS).select("id", triage.code_tokens(F.col("text")).alias("codes"))
+
+
+DENSE_PAGES = """
+select p_partkey % 20 as doc_id, p_partkey as page_idx, concat('article rate', case when p_partkey % 3 = 0 then ' title' else '' end, case when p_partkey % 5 = 0 then ' ul' else '' end,
+    repeat(concat(' AB', cast(400000 + p_partkey as string)), cast(p_partkey % 27 as int)), repeat(' 120', cast(p_partkey % 26 as int))) as text
+from part
+"""
+
+
+@query(f"""
+with p as (select doc_id, page_idx, 2 + (page_idx % 3 = 0)::int + (page_idx % 5 = 0)::int as roles, page_idx % 27 as n, page_idx % 26 as prices from ({DENSE_PAGES}) i),
+     -- words of five letters before a digit on their line are code-like as well
+     q as (select *, n + case when n + prices > 0 then 1 + (page_idx % 3 = 0)::int else 0 end as codes from p)
+select doc_id, page_idx, cast(5 as int) as score from q where roles >= 3 or (roles >= 2 and codes >= 6 and prices >= 6) or (codes >= 20 and prices >= 20)
+""")
+def triage_dense_pages(spark, sf_dir):
+    return triage.candidates(given(spark, sf_dir, DENSE_PAGES), TRIAGE, weights=WORDS)
+
+
 @query(r"""
 select doc_id, len(regexp_extract_all(text, '\b[0-9]{2,5}(?:[.][0-9]+)?(?:[.]-)?\b')) as price_tokens
 from documents
@@ -331,6 +360,26 @@ def dedup_footnotes(spark, sf_dir):
     return _dedup(spark, sf_dir, FOOTNOTE_ROWS)
 
 
+CHAIN_ROWS = """
+select concat(cast(100000 + p_partkey as string), substr('9876', 1, n)) as alias, cast(p_size * 100 as double) as purchase, '' as particulars, '' as pack,
+    p_partkey * 10 + case p_partkey % 4 when 0 then n when 1 then 4 - n when 2 then n * 3 % 5 else n * 2 % 5 end as ord
+from part cross join (select 0 as n union all select 1 union all select 2 union all select 3 union all select 4) k where (p_partkey + n) % 7 <> 0
+"""
+
+
+@query(f"""
+with c as (select *, length(alias) as l from ({CHAIN_ROWS}) i),
+     f7 as (select a.alias, b.alias is not null as falls from c a left join c b on b.alias = left(a.alias, 6) and b.purchase = a.purchase where a.l = 7),
+     f8 as (select a.alias, coalesce(b.ord > a.ord or not f.falls, false) as falls from c a left join c b on b.alias = left(a.alias, 7) and b.purchase = a.purchase left join f7 f on f.alias = b.alias where a.l = 8),
+     f9 as (select a.alias, coalesce(b.ord > a.ord or not f.falls, false) as falls from c a left join c b on b.alias = left(a.alias, 8) and b.purchase = a.purchase left join f8 f on f.alias = b.alias where a.l = 9),
+     f10 as (select a.alias, coalesce(b.ord > a.ord or not f.falls, false) as falls from c a left join c b on b.alias = left(a.alias, 9) and b.purchase = a.purchase left join f9 f on f.alias = b.alias where a.l = 10)
+select alias, purchase from c where alias not in (select alias from (select * from f7 union all select * from f8 union all select * from f9 union all select * from f10) f where falls)
+""")
+def footnote_chains(spark, sf_dir):
+    """Chains of up to five codes, each with one digit more, in four orders and with gaps."""
+    return dedup.drop_footnotes(given(spark, sf_dir, CHAIN_ROWS)).select("alias", "purchase")
+
+
 CODE_PRICES = """
 select cast(20000 + p_partkey as string) as alias, cast(case when p_partkey % 4 = 0 then 20001 + p_partkey else p_size * 11 end as double) as purchase from part
 """
@@ -473,6 +522,11 @@ def cooccurrence(spark, sf_dir):
     return tables.cooccurrence(given(spark, sf_dir, CELLS), ["t"])
 
 
+@query(f"select a.t, a.col_idx as code_col, b.col_idx as pack_col, count(*) as n from ({CELLS}) a join ({CELLS}) b on a.t = b.t and a.row_idx = b.row_idx where a.col_idx = 0 and b.col_idx in (1, 2, 3) group by 1, 2, 3")
+def pack_cooccurrence(spark, sf_dir):
+    return tables.cooccurrence(given(spark, sf_dir, CELLS), ["t"], "pack")
+
+
 @query("select p_partkey, list_sort(list_transform([3, 8, 12, 20, 33, 41], lambda c: struct_pack(d := abs(c - p_size), c := c)))[1].c as near_left, list_sort(list_transform([3, 8, 12, 20, 33, 41], lambda c: struct_pack(d := abs(c - p_size), s := case when c >= p_size then 0 else 1 end, c := c)))[1].c as near_right from part")
 def nearest_column(spark, sf_dir):
     choices = F.array(*map(F.lit, (3, 8, 12, 20, 33, 41)))
@@ -574,19 +628,28 @@ def distinct_matrices(spark, sf_dir):
     return tables.keep_first_matrix(rows, ["page"], "matrix", "ord").select("page", "ord", "a", "b")
 
 
-@query()
+@query("""
+select user_id, case when h.score >= 0 then h.idx end as header_idx from (
+    select user_id, list_reduce(list_prepend({'idx': 0, 'score': -1}, scores[1:32]), lambda b, x: case when x.score > b.score + 100 or (x.score >= b.score and x.idx <= b.idx) then x else b end) as h
+    from (select user_id, list_sort(list({'idx': cast(event_id % 1000 as int), 'score': cast(floor(value) as int)})) as scores from events group by user_id) a) b
+""")
 def header_rows(spark, sf_dir):
-    """The fold with hysteresis has no counterpart in plain SQL; tests compare it with a loop."""
+    """The fold with hysteresis over ordered scores."""
     scored = read(spark, sf_dir, "events").groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct((F.col("event_id") % 1000).cast("int").alias("idx"), F.floor("value").cast("int").alias("score")))).alias("scores"))
     return scored.select("user_id", tables.header_fold(F.slice("scores", 1, 32)).alias("header_idx"))
 
 
-KEYWORDS = {k: w for k, w in Profile().keyword_weights().items() if k.isascii()}
+SYNONYMS = "select distinct p_brand as role, concat('  ', upper(p_type), chr(10), ' Nr ') as synonym from part union all select 'pack', ' ' "
+ROLE_WEIGHTS = "select distinct p_brand as role, cast(length(p_brand) + ascii(substr(p_brand, length(p_brand))) % 5 as int) as weight from part where p_size % 2 = 0 union all select 'zero', 0 union all select 'pack', 2"
 
 
-@query("select keyword, max(weight) as weight from (values " + ", ".join(f"('{m}', {Profile().weights[r]})" for r in Profile().synonyms for m in [*Profile().page_markers(r), r] if m.isascii()) + ") v(keyword, weight) group by keyword")
+@query(f"""
+select keyword, max(weight) as weight from (
+    select trim(regexp_replace(lower(synonym), '\\s+', ' ', 'g')) as keyword, coalesce(weight, 1) as weight from ({SYNONYMS}) s left join ({ROLE_WEIGHTS}) w using (role)
+    union all select role, weight from ({ROLE_WEIGHTS}) v) k where keyword <> '' group by keyword having max(weight) > 0
+""")
 def keyword_weights(spark, sf_dir):
-    return spark.createDataFrame(sorted(KEYWORDS.items()), "keyword string, weight int")
+    return triage.keyword_weights(given(spark, sf_dir, SYNONYMS), given(spark, sf_dir, ROLE_WEIGHTS))
 
 
 def queries() -> dict[str, Query]:

@@ -107,12 +107,14 @@ def has_code_price_signal(matrix: Column) -> Column:
     return F.exists(matrix, row)
 
 
-def header_groups(words: DataFrame, markers: dict[str, list[str]], page_height: Column, *, dy: float = 22.0, left: float = 10.0, right: float = 260.0) -> DataFrame:
+def header_groups(words: DataFrame, markers: dict[str, list[str]], page_height: Column, *, dy: float = 22.0, left: float = 10.0, right: float = 260.0, min_groups: int = 1, spread: float = 40.0) -> DataFrame:
     """Header blocks on pages: a code word with the nearest words for the other roles right of it on its line.
 
     Words are (doc_id, page_idx, word_id, x0, y0, text); a block needs words
     for price and pack. Blocks below four fifths of the page are none; of
-    anchors within eight units of each other the first counts.
+    anchors within eight units of each other the first counts. Pages with fewer
+    than ``min_groups`` blocks give none; where several are asked for, they must
+    stand within ``spread`` units of height.
     """
     from tariffloom.functions.text import has_any_marker, normalize_header
     from tariffloom.operators.tables import band_join
@@ -130,7 +132,11 @@ def header_groups(words: DataFrame, markers: dict[str, list[str]], page_height:
 
     order = Window.partitionBy(*keys).orderBy("alias_y", "alias_x", "anchor_id")
     close = (F.abs(F.col("alias_x") - F.lag("alias_x").over(order)) <= 8) & (F.abs(F.col("alias_y") - F.lag("alias_y").over(order)) <= 8)
-    return groups.withColumn("_close", F.coalesce(close, F.lit(False))).where("not _close").drop("_close")
+    groups = groups.withColumn("_close", F.coalesce(close, F.lit(False))).where("not _close").drop("_close")
+    page = Window.partitionBy(*keys)
+    counted = groups.withColumns({"_n": F.count("*").over(page), "_apart": F.max("alias_y").over(page) - F.min("alias_y").over(page)})
+    enough = (F.col("_n") >= min_groups) & ((F.col("_apart") <= spread) if min_groups >= 2 else F.lit(True))
+    return counted.where(enough).drop("_n", "_apart")
 
 
 def header_bands(groups: DataFrame, page_width: float) -> DataFrame:

@@ -6,7 +6,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from tariffloom import queries as catalog
+from tariffloom import layout_queries, queries as catalog, source_queries  # noqa: F401
 from tariffloom.functions import codes, packs, prices, text
 from tariffloom.operators import dedup, match, tables, triage
 from tariffloom.operators.layouts import cells
@@ -77,7 +77,7 @@ def inline_by_hand(v):
 def test_text_prices_of_all_shapes(spark):
     """Every row of part, all twelve shapes, against a reading of the reference's rules without expressions."""
     given = {r.id: r.v for r in catalog.given(spark, DATA, catalog.PRICE_TEXTS).collect()}
-    got = {r.id: (r.trailing, r.inline_price, r.inline_pack) for r in catalog.QUERIES["text_prices_all"](spark, DATA).collect()}
+    got = {r.id: (r.trailing, r.inline_price, r.inline_pack) for r in catalog.QUERIES["text_prices"](spark, DATA).collect()}
     assert len(got) == spark.read.parquet(f"{DATA}/part.parquet").count() and {i % 12 for i in got} == set(range(12))
     assert got == {i: (trailing_by_hand(v), *inline_by_hand(v)) for i, v in given.items()}
 
@@ -115,6 +115,32 @@ def test_footnote_chains_follow_order(spark):
     chain = [("123456", 9, "", ""), ("1234567", 9, "", ""), ("12345678", 9, "", "")]
     left = lambda rows: {r.alias for r in dedup.drop_footnotes(rows_of(spark, rows)).collect()}
     assert left(chain) == {"123456", "12345678"} and left(chain[::-1]) == {"123456"}
+    four = [("400001", 9, "", ""), ("4000011", 9, "", ""), ("40000112", 9, "", ""), ("400001123", 9, "", "")]
+    assert left(four) == {"400001", "40000112"}
+    rng = random.Random(2)
+    for _ in range(5):
+        rows = [("123456" + "7890"[:n], 9, "", "") for n in range(5) if rng.random() < 0.8]
+        rng.shuffle(rows)
+        there = {r[0] for r in rows}
+        for alias, *_ in rows:
+            if len(alias) >= 7 and alias[:-1] in there:
+                there.discard(alias)
+        assert left(rows) == there
+
+
+def test_code_tokens_equal_the_pattern(spark):
+    """Runs from the last to the first count what the whole pattern finds, in lines of any length."""
+    import re
+    import time
+
+    whole = re.compile(r"\b(?=[A-Za-z0-9\-_/.]{5,}\b)(?=.*[A-Za-z])(?=.*\d)[A-Za-z0-9][A-Za-z0-9\-_/.]*\b")
+    rng = random.Random(3)
+    some = ["".join(rng.choice(["AB12", "34567", "x", "-", "_", "/", ".", " ", " ", "\n", "é", "abcde", "9"]) for _ in range(rng.randint(0, 40))) for _ in range(600)]
+    got = spark.createDataFrame([(t,) for t in some], "t string").select("t", triage.code_tokens(F.col("t")).alias("n")).collect()
+    assert {r.t: r.n for r in got} == {t: len(whole.findall(t)) for t in some}
+    began = time.time()
+    long = spark.createDataFrame([("12345 " * 50_000 + "A",)], "t string").select(triage.code_tokens(F.col("t")).alias("n")).first().n
+    assert long == 50_000 and time.time() - began < 20
 
 
 @pytest.mark.parametrize("alias, price, same", [("1E5", 100000, True), ("1_000", 1000, True), ("12D", 12, False), ("500", 500, True), ("AB", 1, False), ("5.50", 5.5, True)])
