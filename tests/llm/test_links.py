@@ -63,6 +63,58 @@ def test_near_duplicates_odd_rows(spark):
     assert minhash.near_duplicates(df.limit(0), words_each=2).count() == 0
 
 
+def test_one_id_with_several_texts_has_the_links_of_all(spark):
+    a, b = ([f"{k}{n}" for n in range(60)] for k in "ab")
+    near = lambda words: " ".join([*words[:-1], "other"])
+    df = spark.createDataFrame([(7, " ".join(a)), (7, " ".join(b)), (8, near(a)), (9, near(b)), (10, "alone here")], "doc_id bigint, text string")
+    got = sorted((r.doc_id, r.component_id) for r in minhash.near_duplicates(df, words_each=2).collect())
+    assert got == [(7, 7), (7, 7), (8, 7), (9, 7), (10, 10)]
+
+
+def copies(n, words, edits, seed):
+    """Texts that each differ from one centre at some places, far enough that many are no links of each other."""
+    rng = random.Random(seed)
+    word = lambda: "w" + "".join(rng.choice("abcdefgh") for _ in range(7))
+    base = [word() for _ in range(words)]
+    out = []
+    for _ in range(n):
+        own = list(base)
+        for _ in range(rng.randint(*edits)):
+            k = rng.randrange(len(own))
+            own[k : k + rng.randint(0, 1)] = [word()] * rng.randint(0, 1)
+        out.append(" ".join(own))
+    return out
+
+
+@pytest.mark.parametrize("edits", [(1, 12), (4, 8), (8, 20)])
+def test_a_group_of_near_copies_equals_brute_force(spark, edits):
+    texts = dict(enumerate(copies(150, 60, edits, seed=edits[0])))
+    df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(df, words_each=2).collect()}
+    assert got == linked(texts, 2)
+
+
+def test_prefix_join_loses_no_link(spark):
+    """Every pair of the similarity is among the pairs, whatever the components, and far fewer than all are made."""
+    texts = [t for seed in range(3) for t in copies(60, 50, (1, 20), seed)]
+    sets = [minhash.shingles(t, 2, minhash._Words()) for t in texts]
+    rows = [(k, len(s), s.view("int64").tolist()) for k, s in enumerate(sets)]
+    df = spark.createDataFrame(rows, "id bigint, n bigint, shingles array<bigint>")
+    members = df.select("id", F.col("id").alias("component"))
+    pairs = {(r.u, r.v) for r in minhash.prefix_pairs(members, df, 80).collect()}
+    plain = [set(s.tolist()) for s in sets]
+    want = {(i, j) for i, a in enumerate(plain) for j, b in enumerate(plain) if i < j and 100 * len(a & b) >= 80 * len(a | b)}
+    assert want and want <= pairs and len(pairs) < len(texts) * (len(texts) - 1) / 4
+
+
+def test_copies_of_one_group_make_few_pairs(spark):
+    """Of a group that is one component, no pairs are made; members that it does not reach make few."""
+    texts = copies(200, 80, (1, 5), 4)
+    sets = [minhash.shingles(t, 2, minhash._Words()) for t in texts]
+    df = spark.createDataFrame([(k, len(s), s.view("int64").tolist()) for k, s in enumerate(sets)], "id bigint, n bigint, shingles array<bigint>")
+    assert minhash.prefix_pairs(df.select("id", F.lit(0).cast("bigint").alias("component")), df, 80).count() == 0
+
+
 def test_components_of_chains(spark):
     edges = [(k, k + 1) for k in range(0, 40)] + [(100, 101), (102, 101), (7, 7), (None, 3)]
     got = dict(map(tuple, components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()))
@@ -98,28 +150,74 @@ def test_decontamination_finds_passages(spark):
     assert got == want and any(want.values())
 
 
-def test_edited_passages_are_found(spark):
-    """Passages that keep a weighted similarity of 0.8 are found, however the edit moves the fingerprint."""
+def _weighted(a, b):
+    weigh = lambda ws: {tuple(ws[k : k + 5]): sum(map(len, ws[k : k + 5])) for k in range(len(ws) - 4)}
+    x, y = weigh(a), weigh(b)
+    both = sum(x[s] for s in x if s in y)
+    return both / (sum(x.values()) + sum(y.values()) - both)
+
+
+def test_rotated_and_shifted_passages_are_found(spark):
+    words = [f"w{k}" for k in range(60)]
+    texts = [" ".join(words), " ".join(words[30:] + words[:30]), "x " * 9 + " ".join(words[20:] + words[:20]) + " y" * 9, " ".join(words[5:]), " ".join(words[30:])]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r.doc_id for r in decontaminate.matches(d, spark.createDataFrame([(1, texts[0])], "item_id bigint, text string")).collect()}
+    assert found == {0, 1, 2, 3}
+
+
+def test_recall_on_edited_passages(spark):
+    """Passages edited at the start, the end or within, held against brute force over all windows: at least 0.95 are found, and nothing else."""
     rng = random.Random(8)
-    items = [(r.item_id, re.findall(r"[^\W_]+", r.text.lower())) for r in spark.read.parquet("/root/testdata/check_s/benchmark.parquet").collect()]
-
-    def alike(a, b):
-        weigh = lambda ws: {tuple(ws[k : k + 5]): sum(map(len, ws[k : k + 5])) for k in range(len(ws) - 4)}
-        x, y = weigh(a), weigh(b)
-        both = sum(x[s] for s in x if s in y)
-        return both / (sum(x.values()) + sum(y.values()) - both)
-
-    want, docs = {}, []
-    for i, words in items:
-        for n in range(1, 7):
-            own = [*words[:-n], *("q" + "".join(rng.choice("bcdfg") for _ in range(rng.randint(1, 7))) for _ in range(n))]
-            if alike(words, own) >= 0.8:
-                want[len(docs)] = i
-                docs.append((len(docs), "zz yy " + " ".join(own) + " xx"))
-    d = spark.createDataFrame(docs, "doc_id bigint, text string")
-    b = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id bigint, text string")
-    found = {(r.doc_id, r.item_id) for r in decontaminate.matches(d, b).collect()}
-    assert len(want) > 300 and found >= set(want.items())
+    items = {r.item_id: re.findall(r"[^\W_]+", r.text.lower()) for r in spark.read.parquet(f"{DATA}/benchmark.parquet").collect()}
+    odd = lambda n: ["q" + "".join(rng.choice("bcdfg") for _ in range(rng.randint(1, 7))) for _ in range(n)]
+    docs, want = [], set()
+    for i, words in items.items():
+        for n in range(1, 5):
+            at = rng.randrange(len(words) - n)
+            for own in ([*words[:-n], *odd(n)], [*odd(n), *words[n:]], [*words[:at], *odd(n), *words[at + n :]], [*words[:at], *odd(n), *words[at:]], [*words[:at], *words[at + n :]]):
+                doc = [*odd(6), *own, *odd(6)]
+                if max(_weighted(doc[max(0, s) : s + len(words)], words) for s in range(5 - len(words), len(doc) - 4)) >= 0.8:
+                    want.add((len(docs), i))
+                docs.append((len(docs), " ".join(doc)))
+    b = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id bigint, text string")
+    found = {(r.doc_id, r.item_id) for r in decontaminate.matches(spark.createDataFrame(docs, "doc_id bigint, text string"), b).collect()}
+    assert len(want) > 200 and found <= want and len(found) >= 0.95 * len(want)
+
+
+def test_blocks_guarantee_the_radius_and_select(spark):
+    """All fingerprints within the radius meet, and few of the others do."""
+    rng = random.Random(6)
+    items = [rng.getrandbits(63) for _ in range(100)]
+    near = []
+    for k, x in enumerate(items):
+        for n in range(0, 11, 2):
+            y = x
+            for b in rng.sample(range(63), n):
+                y ^= 1 << b
+            near.append((y, k))
+    far = [rng.getrandbits(63) for _ in range(2000)]
+    prints = spark.createDataFrame([(y,) for y, _ in near] + [(y,) for y in far], "print bigint").distinct()
+    table = spark.createDataFrame(list(enumerate(items)), "item_id int, item_print bigint")
+    got = {(r["print"], r.item_id) for r in decontaminate.near_prints(prints, table, 10).collect()}
+    assert got == {(y, k) for y in {y for y, _ in near} | set(far) for k, x in enumerate(items) if (x ^ y).bit_count() <= 10} >= set(near)
+    keys = lambda df, c: df.select(c, F.explode(decontaminate.block_keys(F.col(c), 10)).alias("key"))
+    met = keys(prints, "print").join(keys(table, "item_print"), "key").count()
+    assert met < 0.15 * prints.count() * len(items)
+
+
+def test_packed_counters_equal_counting_bit_by_bit(spark):
+    df = spark.createDataFrame([(["a"],), (["a", "b"],), ([f"w{k}" for k in range(40)],), (["x"] * 300 + ["y"] * 299,), ([],)], "words array<string>")
+    out = decontaminate.with_simhash(df, "words", "packed").select("packed", decontaminate._simhash_by_bit(F.col("words")).alias("plain")).collect()
+    assert all(r.packed == r.plain for r in out) and len({r.packed for r in out}) > 2
+
+
+def test_decontamination_odd_texts(spark):
+    """A very long text, a clashing column, repeated rows and an empty table of documents."""
+    item = " ".join(f"w{k}" for k in range(20))
+    long = "z " * 30_000 + item + " y" * 30_000
+    d = spark.createDataFrame([(1, long, "a"), (1, long, "a"), (2, "z " * 30_000, "b")], "doc_id bigint, text string, leak_doc string")
+    out = decontaminate.decontaminate(d, spark.createDataFrame([(1, item), (1, item), (2, item)], "item_id bigint, text string"))
+    assert sorted((r.doc_id, r.leak_doc, r.item_ids, r.leak_kept) for r in out.collect()) == [(1, "a", [1, 2], False)] * 2 + [(2, "b", None, True)]
 
 
 def _edited(texts):
