@@ -11,6 +11,12 @@ from .text import collapse, pack_tokens
 
 #: The unit words of a pack line.
 PACK_LINE = r"(?i)^(?:\d+\s*/\s*\d+|\d+(?:\.\d+)?\s*(?:nos?|pcs?|pc|set|box|pkt|unit|uom))\z"
+#: Points of a line of a pack cell by what it shows; a line that is a code shows nothing else.
+POINTS = {"code": -4, "slash": 5, "unit": 3, "small": 2, "word": -2}
+#: Signs that make a line look like a pack, the share of lines that must, and the points for that.
+LIKE, LIKE_SHARE, LIKE_POINTS = ("slash", "unit", "small"), 0.7, 4
+#: Ranks of a pack value by the first that holds.
+RANKS = {"empty": 0, "code": -3, "slash": 3, "digits": 2, "token": 1}
 
 
 def clean_pack(v: Column) -> Column:
@@ -25,7 +31,11 @@ def is_pack_token(v: Column) -> Column:
 
 def pack_value_quality(v: Column) -> Column:
     """Rank of a pack value: -3 for a code, 3 with "/", 2 for digits, 1 for a token, else 0."""
-    return F.when(v == "", 0).when(v.rlike("[A-Za-z]") & is_code_line(v), -3).when(F.contains(v, F.lit("/")), 3).when(v.rlike(r"^\d+\z"), 2).when(v.rlike(r"^[A-Za-z0-9\-_/.]+\z"), 1).otherwise(0)
+    holds = {"empty": v == "", "code": v.rlike("[A-Za-z]") & is_code_line(v), "slash": F.contains(v, F.lit("/")), "digits": v.rlike(r"^\d+\z"), "token": v.rlike(r"^[A-Za-z0-9\-_/.]+\z")}
+    out = F.lit(0)
+    for name, rank in reversed(RANKS.items()):
+        out = F.when(holds[name], rank).otherwise(out)
+    return out
 
 
 def row_quality(pack: Column, particulars: Column) -> Column:
@@ -44,13 +54,14 @@ def pack_line_count(v: Column) -> Column:
 def pack_column_quality(v: Column) -> Column:
     """How much the lines of a cell look like pack sizes: points for each, and four for 70 percent of them."""
     def points(line: Column) -> Column:
-        slash, hint, small = F.contains(line, F.lit("/")), line.rlike(PACK_LINE), _small_whole(line)
-        score = F.when(line.rlike("[A-Za-z]") & ~slash, -2).otherwise(0) + F.when(slash, 5).otherwise(0) + F.when(hint, 3).otherwise(0) + F.when(small & ~slash, 2).otherwise(0)
-        like = slash.cast("int") + hint.cast("int") + small.cast("int")
+        slash = F.contains(line, F.lit("/"))
+        shown = {"slash": slash, "unit": line.rlike(PACK_LINE), "small": _small_whole(line), "word": line.rlike("[A-Za-z]") & ~slash}
+        score = sum((F.when(shown[n] & (~slash if n == "small" else F.lit(True)), POINTS[n]).otherwise(0) for n in shown), F.lit(0))
+        like = sum((shown[n].cast("int") for n in LIKE), F.lit(0))
         code = is_code_line(line)
-        return F.struct(F.when(code, -4).otherwise(score).alias("score"), F.when(code, 0).otherwise(like).alias("like"))
+        return F.struct(F.when(code, POINTS["code"]).otherwise(score).alias("score"), F.when(code, 0).otherwise(like).alias("like"))
 
     scored = F.transform(pack_tokens(v), points)
     total = F.aggregate(scored, F.struct(F.lit(0).alias("score"), F.lit(0).alias("like")), lambda s, x: F.struct((s["score"] + x["score"]).alias("score"), (s["like"] + x["like"]).alias("like")))
     n = F.size(scored)
-    return F.when(n == 0, 0).otherwise(total["score"] + F.when(total["like"] >= 0.7 * n, 4).otherwise(0))
+    return F.when(n == 0, 0).otherwise(total["score"] + F.when(total["like"] >= LIKE_SHARE * n, LIKE_POINTS).otherwise(0))

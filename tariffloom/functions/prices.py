@@ -11,6 +11,10 @@ from .text import collapse, lines, strip
 ON_REQUEST = "\uf06e\uf0b7\u25a0\u25cf\u2022"
 NUMBER = r"\d+(?:,\d{3})*(?:\.\d+)?"
 PRICE = r"(?:\d{1,3}(?:,\d{3})+|\d+)(?:\.\d+)?"
+#: Several numbers are one price only as groups of thousands parted by white space.
+THOUSANDS = r"\d{1,3}(?:\s+\d{3})+(?:\.\d+)?"
+#: What is taken out of a cell before it is read as a number, in order: (pattern, what stands there then).
+TIDY = [(" ", ""), (",,", ","), (r"\.-$", ""), (r"^\.+|\.+$", "")]
 LOWEST, HIGHEST = 50.0, 500_000.0
 #: Nominal ratings that leak into price columns.
 RATINGS = [0.1, 0.16, 0.25, 0.4, 0.63, 1, 1.6, 2.5, 4, 5, 6, 7, 9, 10, 12, 16, 18, 20, 22, 25, 28, 32, 40, 50, 54, 60, 63, 65, 70, 80, 85, 100, 120, 125, 160, 185, 200, 240, 250, 260, 300, 320, 330, 400, 520, 630, 800, 1000, 1250, 1600]
@@ -31,11 +35,11 @@ def parse_price(v: Column) -> Column:
     and dots at the ends are dropped.
     """
     raw = strip(v)
-    grouped = collapse(F.replace(raw, F.lit(","), F.lit("")))
-    one = F.when(F.regexp_count(raw, F.lit(NUMBER)) <= 1, F.replace(raw, F.lit(" "), F.lit(""))).when(grouped.rlike(r"^\d{1,3}(?: \d{3})+(?:\.\d+)?\z"), F.replace(grouped, F.lit(" "), F.lit("")))
-    plain = F.regexp_replace(F.replace(one, F.lit(",,"), F.lit(",")), r"\.-\z", "")
-    plain = F.regexp_replace(plain, r"^\.+|\.+\z", "")
-    stated = F.when(plain.rlike(rf"^{PRICE}\z"), F.replace(plain, F.lit(","), F.lit("")))
+    grouped = F.replace(raw, F.lit(","), F.lit(""))
+    one = F.when(F.regexp_count(raw, F.lit(NUMBER)) <= 1, raw).when(grouped.rlike(rf"(?U)^\s*{THOUSANDS}\s*$"), F.regexp_replace(grouped, r"(?U)\s+", ""))
+    for pattern, instead in TIDY:
+        one = F.regexp_replace(one, pattern, instead)
+    stated = F.when(one.rlike(rf"^{PRICE}\z"), F.replace(one, F.lit(","), F.lit("")))
     return F.when(raw.rlike("[A-Za-z]") | on_request(raw), None).otherwise(stated).try_cast("double")
 
 
