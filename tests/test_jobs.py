@@ -41,3 +41,50 @@ def test_matching_run(spark, tmp_path):
     summary, files = match_run(primary, fallback, sheet, manifest, str(tmp_path))
     assert summary.first().asDict() == {"total_pages": 3, "candidate_rows": 4, "accepted_rows": 2, "review_rows": 2, "matched_rows": 2}
     assert len(files) == 6 and spark.read.option("header", True).csv(files["unmatched_excel_rows"]).first().Alias == "QQ999"
+
+
+def test_service(spark, tmp_path):
+    import threading
+    import urllib.error
+    import urllib.request
+
+    from tariffloom.service import server
+
+    schema = f"page_number int, status string, rows array<struct<{', '.join(f'{n}: {t}' for n, t in (c.split() for c in readers.EXTRACTED.split(', ')))}>>"
+    row = ("AB-101", "words", "5/-", 0.9, 1, "", "p")
+    place = {k: str(tmp_path / k) for k in ("primary", "fallback", "sheet", "manifest", "out")}
+    spark.createDataFrame([(1, "success", [row])], schema).write.parquet(place["primary"])
+    spark.createDataFrame([], schema).write.parquet(place["fallback"])
+    spark.createDataFrame([("ab 101",)], "Alias string").write.parquet(place["sheet"])
+    spark.createDataFrame([(1, 10)], "page_number int, native_text_length int").write.parquet(place["manifest"])
+    running = server(spark, port=0)
+    threading.Thread(target=running.serve_forever, daemon=True).start()
+    base = f"http://127.0.0.1:{running.server_address[1]}"
+
+    def post(body):
+        try:
+            return json.load(urllib.request.urlopen(urllib.request.Request(f"{base}/v1/process", json.dumps(body).encode())))
+        except urllib.error.HTTPError as e:
+            return e.code
+
+    try:
+        assert json.load(urllib.request.urlopen(f"{base}/health")) == {"status": "ok"}
+        got = post(place)
+        assert got["matched_rows"] == got["accepted_rows"] == 1 and len(got["files"]) == 6
+        assert post({"primary": "x"}) == 422 and post(place | {"primary": str(tmp_path / "nowhere")}) == 500
+    finally:
+        running.shutdown()
+
+
+def test_keyword_files(tmp_path):
+    import pytest
+
+    from tariffloom.plans.profile import find_profile, read_keyword_weights
+
+    (tmp_path / "w.json").write_text('{" Extra ": 9, "": 1, "x": "y", "mrp": 0}')
+    (tmp_path / "list.json").write_text("[]")
+    assert read_keyword_weights(tmp_path / "w.json") == {"extra": 9, "mrp": 0}
+    with pytest.raises(ValueError):
+        read_keyword_weights(tmp_path / "list.json")
+    with pytest.raises(FileNotFoundError):
+        find_profile("a.pdf", tmp_path / "none", required=True)
