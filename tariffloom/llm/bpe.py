@@ -32,7 +32,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import bound_batches, without_gc
+from .common import bound_batches, light_task
 
 #: The white space of the tokenizers' patterns (Unicode White_Space).
 WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -68,6 +68,9 @@ class Generations:
         if len(self.young) + coming > self.entries:
             self.young, self.old = {}, self.young
 
+    def forget(self) -> None:
+        self.young, self.old = {}, {}
+
     def missing(self, keys: set[str]) -> list[str]:
         """The keys that neither generation has; those that the older has become young again."""
         new = keys.difference(self.young)
@@ -125,6 +128,11 @@ class ByteBpe:
         self._library = None
         self.proposed = self.repaired = 0
 
+    def forget(self) -> None:
+        """Empty the caches; the tables stay."""
+        self.cache.forget()
+        self.words.forget()
+
     def _pair_rank(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         keys = x.astype(np.int64) * self.size + y
         at = np.minimum(np.searchsorted(self.merge_keys, keys), len(self.merge_keys) - 1)
@@ -352,8 +360,8 @@ def encode_decode(docs: DataFrame, tokenizer_path: str, *, keep_ids: bool = Fals
     schema = f"doc_id {dict(docs.dtypes)['doc_id']}, n_tokens bigint, ids_sha256 string, decoded_sha256 string{extra}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with without_gc():  # walking the caches costs more than the lookups
-            bpe = encoder(tokenizer_path)
+        bpe = encoder(tokenizer_path)
+        with light_task(bpe.forget):
             for batch in batches:
                 rows: list[tuple] = []
                 for ids in bpe.encode_batch(batch.column(1).to_pylist()):

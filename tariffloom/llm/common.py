@@ -5,11 +5,15 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+#: Rows of a few numbers or short texts up to which a table is broadcast (about 64 MB).
+BROADCAST_ROWS = 2_000_000
 #: Bytes of an Arrow batch of texts: a worker holds a few batches, whatever the texts' lengths.
 BATCH_BYTES = 8 << 20
 
@@ -39,8 +43,12 @@ def bound_batches(spark: SparkSession, most: int = BATCH_BYTES) -> None:
 
 
 @contextmanager
-def without_gc() -> Iterator[None]:
-    """No collection of cycles while a task fills caches that have none; workers are reused, so it is turned on again."""
+def light_task(forget: Callable[[], None] | None = None) -> Iterator[None]:
+    """A task that fills caches without cycles: they are not walked for any, and nothing large outlives the task.
+
+    Workers are reused by later stages, so collection is turned on again,
+    ``forget`` empties the caches, and Arrow gives its memory back.
+    """
     on = gc.isenabled()
     gc.disable()
     try:
@@ -48,6 +56,9 @@ def without_gc() -> Iterator[None]:
     finally:
         if on:
             gc.enable()
+        if forget is not None:
+            forget()
+        pa.default_memory_pool().release_unused()
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:
@@ -72,5 +83,10 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small(df: DataFrame) -> DataFrame:
+    """Broadcast a table of few numbers a row, if it has few rows."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

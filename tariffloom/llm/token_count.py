@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import CHUNK, Generations
-from .common import bound_batches, without_gc
+from .common import bound_batches, light_task
 
 #: Rows that the frequent pieces are counted on (a bounded sample; it decides speed, never results).
 SAMPLE_ROWS = 4_000
@@ -148,8 +148,8 @@ def token_counts(docs: DataFrame, tokenizer_path: str, *, limit: int = 512, samp
     frequent = Frequent(docs.sparkSession.sparkContext.broadcast(frequent_table(docs, tokenizer_path, sample_rows=sample_rows)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with without_gc():  # walking the caches costs more than the lookups
-            counts = _counts(tokenizer_path, frequent.key, frequent)
+        counts = _counts(tokenizer_path, frequent.key, frequent)
+        with light_task(counts.seen.forget):
             for batch in batches:
                 numbers = pa.array(list(counts.batch(batch.column(1).to_pylist())), pa.int64())
                 yield pa.RecordBatch.from_arrays([batch.column(0), numbers], names=["row", "n_tokens"])

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .bpe import CACHE_ENTRIES, MARKS, PLAIN_LIMIT, byte_alphabet
-from .common import bound_batches, shared_dir, without_gc
+from .common import bound_batches, light_task, shared_dir
 
 MAGIC = b"PFR1"
 BLOCK = 1024
@@ -254,8 +254,8 @@ def write_store(docs: DataFrame, path: str, tokenizer_path: str, *, end_id: int)
     bound_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with without_gc():  # walking the caches costs more than the lookups
-            encoder, part = _words(tokenizer_path), TaskContext.get().partitionId()
+        encoder, part = _words(tokenizer_path), TaskContext.get().partitionId()
+        with light_task():
             segment, in_part, ids, sizes, raw, held = 0, 0, [], [], [], 0
 
             def row() -> pa.RecordBatch:
