@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .prices import parse_price
-from .text import collapse, strip
+from .text import collapse, is_plain, let, strip
 
 UNITS = "MA|A|V|KV|W|KW|MW|VA|KVA|HZ"
 #: Shapes that look like codes and are none, by what they are.
@@ -25,7 +25,7 @@ CODE = r"^(?=.*[A-Za-z])(?=.*\d)[A-Za-z0-9][A-Za-z0-9\-_/.]{2,}\z"
 
 def clean_code(v: Column) -> Column:
     """Upper case without white space."""
-    return F.regexp_replace(F.upper(strip(v)), r"(?U)\s+", "")
+    return let(v, lambda x: F.when(is_plain(x), F.upper(x)).otherwise(F.regexp_replace(F.upper(strip(x)), r"(?U)\s+", "")))
 
 
 def strip_footnote(v: Column) -> Column:
@@ -40,16 +40,19 @@ def looks_like_code(v: Column, numeric: bool = False) -> Column:
 
     ``numeric``: 5 to 12 digits count as well. Null and empty are none.
     """
-    good = v.rlike(CODE) | v.rlike(r"^\d{5,12}\z") if numeric else v.rlike(CODE)
-    for shape in REJECTED.values():
-        good = good & ~v.rlike(f"(?i){shape}")
-    return F.coalesce(good, F.lit(False))
+    def holds(x: Column) -> Column:
+        good = x.rlike(CODE) | x.rlike(r"^\d{5,12}\z") if numeric else x.rlike(CODE)
+        for shape in REJECTED.values():
+            good = good & ~x.rlike(f"(?i){shape}")
+        return F.coalesce(good, F.lit(False))
+
+    return let(v, holds)
 
 
 def is_code_line(v: Column) -> Column:
     """Is the line one token that looks like a code?"""
-    raw = strip(v)
-    return ~raw.rlike(r"(?U)\s") & looks_like_code(clean_code(raw))
+    one = lambda raw: (is_plain(raw) | ~raw.rlike(r"(?U)\s")) & looks_like_code(clean_code(raw))
+    return let(strip(v), one)
 
 
 def spaced_code(v: Column) -> Column:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import collapse, lines, strip
+from .text import collapse, let, lines, strip
 
 #: Glyphs that mean "price on request".
 ON_REQUEST = "\uf06e\uf0b7\u25a0\u25cf\u2022"
@@ -34,13 +36,20 @@ def parse_price(v: Column) -> Column:
     price only as groups of thousands parted by white space. A trailing ".-"
     and dots at the ends are dropped.
     """
-    raw = strip(v)
-    grouped = F.replace(raw, F.lit(","), F.lit(""))
-    one = F.when(F.regexp_count(raw, F.lit(NUMBER)) <= 1, raw).when(grouped.rlike(rf"(?U)^\s*{THOUSANDS}\s*$"), F.regexp_replace(grouped, r"(?U)\s+", ""))
-    for pattern, instead in TIDY:
-        one = F.regexp_replace(one, pattern, instead)
-    stated = F.when(one.rlike(rf"^{PRICE}\z"), F.replace(one, F.lit(","), F.lit("")))
-    return F.when(raw.rlike("[A-Za-z]") | on_request(raw), None).otherwise(stated).try_cast("double")
+    def tidy(one: Column) -> Column:
+        for pattern, instead in TIDY:
+            plain = re.escape(pattern).replace("\\ ", " ") == pattern
+            one = F.replace(one, F.lit(pattern), F.lit(instead)) if plain else F.regexp_replace(one, pattern, instead)
+        return one
+
+    def stated(raw: Column) -> Column:
+        grouped = F.replace(raw, F.lit(","), F.lit(""))
+        spaced = let(grouped, lambda g: F.when(g.rlike(rf"(?U)^\s*{THOUSANDS}\s*$"), F.regexp_replace(g, r"(?U)\s+", "")))
+        one = F.when(F.regexp_count(raw, F.lit(NUMBER)) <= 1, raw).otherwise(spaced)
+        number = let(tidy(one), lambda x: F.when(x.rlike(rf"^{PRICE}\z"), F.replace(x, F.lit(","), F.lit(""))))
+        return F.when(raw.rlike("[A-Za-z]") | on_request(raw), None).otherwise(number).try_cast("double")
+
+    return let(strip(v), stated)
 
 
 def rating_like(v: Column, ratings: list[float] = RATINGS) -> Column:

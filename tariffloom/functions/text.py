@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,14 +13,24 @@ LINE_END = "\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
 CURRENCY_SIGNS = "\u20b9`"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of the value, which is made once however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def is_plain(v: Column) -> Column:
+    """Is every character a visible one of ASCII? Most cells are, and need none of the slower patterns for all white space."""
+    return ~v.rlike("[^!-~]")
+
+
 def strip(v: Column) -> Column:
     """Without white space (of any kind) at both ends."""
-    return F.regexp_replace(v, r"(?U)^\s+|\s+\z", "")
+    return let(v, lambda x: F.when(is_plain(x), x).otherwise(F.regexp_replace(x, r"(?U)^\s+|\s+\z", "")))
 
 
 def collapse(v: Column) -> Column:
     """White space as single spaces, none at the ends."""
-    return F.trim(F.regexp_replace(v, r"(?U)\s+", " "))
+    return let(v, lambda x: F.when(is_plain(x), x).otherwise(F.trim(F.regexp_replace(x, r"(?U)\s+", " "))))
 
 
 def lines(v: Column) -> Column:
@@ -37,18 +49,19 @@ def normalize_header(v: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(marked, r"[^a-z0-9 ]+", " "), r" +", " "))
 
 
+def _marked(normalized: Column, markers: list[str], fold) -> Column:
+    """``fold`` of an array of markers and a test of one: the header is made once, however many markers are sought."""
+    words = F.array(*(F.lit(f" {m} ") for m in markers)) if markers else F.array().cast("array<string>")
+    return let(F.concat(F.lit(" "), normalized, F.lit(" ")), lambda h: fold(words, lambda m: F.contains(h, m)))
+
+
 def has_any_marker(normalized: Column, markers: list[str]) -> Column:
     """Does one of the markers stand in the normalized header as whole words?"""
-    padded = F.concat(F.lit(" "), normalized, F.lit(" "))
-    found = F.lit(False)
-    for m in markers:
-        found = found | F.contains(padded, F.lit(f" {m} "))
-    return found
+    return F.coalesce(_marked(normalized, markers, F.exists), F.lit(False))
 
 
 def marker_count(normalized: Column, markers: list[str]) -> Column:
-    padded = F.concat(F.lit(" "), normalized, F.lit(" "))
-    return sum((F.contains(padded, F.lit(f" {m} ")).cast("int") for m in markers), F.lit(0))
+    return F.coalesce(_marked(normalized, markers, lambda words, test: F.size(F.filter(words, test))), F.lit(0))
 
 
 def longest(cells: Column) -> Column:

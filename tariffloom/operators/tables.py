@@ -51,19 +51,25 @@ def column_stats(cells: DataFrame, keys: list[str]) -> DataFrame:
 
     A cell that is a code counts as nothing else.
     """
-    v = collapse(F.col("cell"))
-    rows = cells.select(*keys, "col_idx", v.alias("v")).where(F.col("v") != "")
-    rows = rows.withColumns({"code": is_code_line(F.col("v")), "price": parse_price(F.col("v"))})
-    other = ~F.col("code")
-    number, pack = other & F.col("price").isNotNull(), other & (clean_pack(F.col("v")) != "")
-    words = other & F.col("price").isNull() & F.col("v").rlike("[A-Za-z]")
-    strength = F.when(~pack, 0).when(F.col("v").rlike(r"^\d+\s*/\s*\d+\z"), 4).when(F.col("v").rlike(r"^\d+\z"), 3).when(F.col("v").rlike("[A-Za-z]"), -2).otherwise(0)
-    total = lambda c: F.sum(c.cast("int")).cast("int")
-    return rows.groupBy(*keys, "col_idx").agg(
-        total(F.col("code")).alias("codes"), total(number).alias("numbers"), total(pack).alias("packs"), total(words).alias("texts"),
-        total(F.coalesce(number & is_small_whole(F.col("price")), F.lit(False))).alias("small"),
-        F.sum(F.when(words, F.regexp_count("v", F.lit("[A-Za-z]"))).otherwise(0)).cast("int").alias("richness"), F.sum(strength).cast("int").alias("pack_strength"),
-    )
+    def coded(v: Column) -> Column:
+        code = is_code_line(v)
+        return F.struct(v.alias("v"), code.alias("code"), F.when(~code, parse_price(v)).alias("price"))
+
+    def shown(r: Column) -> Column:
+        v, other, letters = r["v"], ~r["code"], r["v"].rlike("[A-Za-z]")
+        pack, number = other & (clean_pack(v) != ""), other & r["price"].isNotNull()
+        words = other & r["price"].isNull() & letters
+        strength = F.when(~pack, 0).when(v.rlike(r"^\d+\s*/\s*\d+\z"), 4).when(v.rlike(r"^\d+\z"), 3).when(letters, -2).otherwise(0)
+        return F.struct(
+            r["code"].cast("int").alias("codes"), number.cast("int").alias("numbers"), pack.cast("int").alias("packs"), words.cast("int").alias("texts"),
+            F.coalesce(number & is_small_whole(r["price"]), F.lit(False)).cast("int").alias("small"), F.when(words, F.regexp_count(v, F.lit("[A-Za-z]"))).otherwise(0).alias("richness"), strength.alias("pack_strength"),
+        )
+
+    # lambdas keep the many patterns out of the generated method, which would grow too large to be compiled to machine code
+    rows = cells.select(*keys, "col_idx", collapse(F.col("cell")).alias("v")).where(F.col("v") != "")
+    read = F.get(F.transform(F.transform(F.array("v"), coded), shown), F.lit(0))
+    names = ["codes", "numbers", "packs", "texts", "small", "richness", "pack_strength"]
+    return rows.withColumn("read", read).groupBy(*keys, "col_idx").agg(*(F.sum(f"read.{n}").cast("int").alias(n) for n in names))
 
 
 def price_columns(stats: DataFrame, support: int = 3, small_share: float = 0.7) -> DataFrame:
