@@ -21,7 +21,8 @@ steps, both on whole sets:
    join: elements are ordered by how many of these classes hold them, rarest
    first, and two sets that are linked share an element among their rarest.
    Only pairs of different components are made, and only where the places of
-   the element leave room for the overlap that a link needs. What two copies
+   the element, and the marks of both sets, leave room for the overlap that a
+   link needs. What two copies
    have in common with their group stands last in this order, so a group's
    size does not multiply pairs. No pair that could be a link is left out.
 """
@@ -36,14 +37,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, materialize
+from .common import bound_batches, materialize, small
 from .components import components
 
 BANDS, ROWS = 12, 3
 #: Rounds with centres at most, and centres that a class meets in each. A round without a link is the last.
-ROUNDS, CENTRES = 2, 3
-#: Rows of a few numbers up to which a table is broadcast (about 64 MB).
-BROADCAST_IDS = 2_000_000
+ROUNDS, CENTRES = 4, 3
+#: Numbers of 64 bits that mark which elements a set holds.
+MARKS = 16
 
 _rng = np.random.default_rng(20240229)
 _SEEDS = _rng.integers(1, 2**63, 2 * BANDS * ROWS, dtype=np.uint64)
@@ -55,7 +56,7 @@ class _Words(dict):
     """64-bit hashes of words; emptied when full, so that memory is bounded."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1 << 20:
+        if len(self) > 1 << 18:
             self.clear()
         self[word] = h = xxhash.xxh3_64_intdigest(word)
         return h
@@ -98,9 +99,18 @@ def band_hashes(values: np.ndarray) -> np.ndarray:
     return bands
 
 
+def marks(values: np.ndarray) -> np.ndarray:
+    """MARKS numbers with a bit for each element; elements may share bits."""
+    out = np.zeros(MARKS, np.uint64)
+    with np.errstate(over="ignore"):
+        at = ((values * _MIX) >> np.uint64(32)) % np.uint64(64 * MARKS)
+    np.bitwise_or.at(out, (at >> np.uint64(6)).astype(int), np.uint64(1) << (at & np.uint64(63)))
+    return out
+
+
 def sketches(docs: DataFrame, words_each: int, *, whole: bool = False) -> DataFrame:
-    """doc_id, n_shingles, digest (two numbers) and bands of each document; with ``whole`` its set instead of the bands."""
-    last, number = ("shingles", pa.int64()) if whole else ("bands", pa.int64())
+    """doc_id, n_shingles, digest (two numbers) and bands of each document; with ``whole`` its set and marks instead of the bands."""
+    last = ["shingles", "marks"] if whole else ["bands"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = _Words()
@@ -110,13 +120,15 @@ def sketches(docs: DataFrame, words_each: int, *, whole: bool = False) -> DataFr
                 for text in part.column(1):
                     s = shingles(text.as_py(), words_each, cache)
                     digest = np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), np.int64)
-                    rows.append((len(s), digest[0], digest[1], (s if whole or not len(s) else band_hashes(s)).view(np.int64)))
-                columns = [pa.array(list(c), k) for c, k in zip(zip(*rows, strict=True), [pa.int64(), pa.int64(), pa.int64(), pa.list_(number)], strict=True)]
-                yield pa.RecordBatch.from_arrays([part.column(0), *columns], names=["doc_id", "n", "d1", "d2", last])
+                    found = [s, marks(s)] if whole else [band_hashes(s) if len(s) else s]
+                    rows.append((len(s), digest[0], digest[1], *(x.view(np.int64) for x in found)))
+                kinds = [pa.int64()] * 3 + [pa.list_(pa.int64())] * len(last)
+                columns = [pa.array(list(c), k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column(0), *columns], names=["doc_id", "n", "d1", "d2", *last])
 
     bound_batches(docs.sparkSession)
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n bigint, d1 bigint, d2 bigint, {last} array<bigint>")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n bigint, d1 bigint, d2 bigint, " + ", ".join(f"{c} array<bigint>" for c in last))
 
 
 def table_keys(bands: Column) -> Column:
@@ -125,11 +137,6 @@ def table_keys(bands: Column) -> Column:
     return F.flatten(F.transform(first, lambda a, i: F.transform(second, lambda b, j: F.xxhash64(a, b, i * BANDS + j))))
 
 
-def small(table: DataFrame) -> DataFrame:
-    """Broadcast a table of few numbers a row, if it has few rows."""
-    return F.broadcast(table) if table.count() <= BROADCAST_IDS else table
-
-
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (u, v) whose whole sets (id, n, shingles) are similar enough."""
     u, v = (sets.select(F.col("id").alias(k), F.col("shingles").alias(f"set_{k}")) for k in "uv")
@@ -176,7 +183,8 @@ def prefix_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     A set's elements are ordered by how many members hold them, then by value.
     A link needs percent / (100 + percent) of both sizes as overlap, hence
     shares an element among the n - ceil(n * percent / 100) + 1 first of each,
-    and behind the first one shared both have enough elements left.
+    behind the first one shared both have enough elements left, and neither has
+    too many marks that the other lacks, as each stands for an element apart.
     """
     elements = sets.join(small(members), "id").select("id", "component", "n", F.explode("shingles").alias("e"))
     held = elements.groupBy("e").agg(F.count("*").alias("held")).where("held > 1")
@@ -188,12 +196,17 @@ def prefix_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     listed = materialize(listed.select("id", "component", "n", (F.col("n") - F.col("alone") - F.col("k")).alias("left"), F.col("s.e").alias("e")), "prefixes")
     # the component that holds an element most often is never compared with itself
     most = listed.groupBy("e", "component").agg(F.count("*").alias("times")).groupBy("e").agg(F.max_by("component", F.struct("times", "component")).alias("main"), F.count("*").alias("several")).where("several > 1").select("e", "main")
-    listed = listed.join(most, "e")
-    a = listed.where("component <> main").select("e", *(F.col(c).alias(f"{c}_a") for c in ("id", "component", "n", "left")))
-    b = listed.select("e", "main", *(F.col(c).alias(f"{c}_b") for c in ("id", "component", "n", "left")))
+    listed = listed.join(most, "e").join(sets.select("id", "marks"), "id")
+    a = listed.where("component <> main").select("e", *(F.col(c).alias(f"{c}_a") for c in ("id", "component", "n", "left", "marks")))
+    b = listed.select("e", "main", *(F.col(c).alias(f"{c}_b") for c in ("id", "component", "n", "left", "marks")))
     once = (F.col("component_b") == F.col("main")) | (F.col("component_a") < F.col("component_b"))
     room = F.least("left_a", "left_b") * (100 + percent) >= percent * (F.col("n_a") + F.col("n_b"))
-    met = a.join(b, (a["e"] == b["e"]) & once & room & _near_sizes("n_a", "n_b", percent))
+
+    def close(x: str, y: str) -> Column:
+        apart = sum((F.bit_count(F.col(f"marks_{x}")[k].bitwiseAND(F.bitwise_not(F.col(f"marks_{y}")[k]))) for k in range(1, MARKS)), F.bit_count(F.col(f"marks_{x}")[0].bitwiseAND(F.bitwise_not(F.col(f"marks_{y}")[0]))))
+        return (F.col(f"n_{x}") - apart) * (100 + percent) >= percent * (F.col("n_a") + F.col("n_b"))
+
+    met = a.join(b, (a["e"] == b["e"]) & once & room & _near_sizes("n_a", "n_b", percent) & close("a", "b") & close("b", "a"))
     return met.select(F.least("id_a", "id_b").alias("u"), F.greatest("id_a", "id_b").alias("v")).distinct()
 
 
@@ -231,7 +244,7 @@ def near_duplicates(docs: DataFrame, *, words_each: int = 5, percent: int = 80)
     rows = materialize(placed.join(shared.hint("shuffle_hash"), "key"), "bucket-rows")
     wanted = materialize(classes.drop("bands").join(small(rows.select("id").distinct()), "id", "left_semi").select("id", "d1", "d2", F.col("rep").alias("doc_id")), "wanted")
     again = docs.select("doc_id", "text").join(small(wanted.select("doc_id").distinct()), "doc_id", "left_semi")
-    sets = sketches(again, words_each, whole=True).join(small(wanted), ["doc_id", "d1", "d2"]).select("id", "n", "shingles").dropDuplicates(["id"])
+    sets = sketches(again, words_each, whole=True).join(small(wanted), ["doc_id", "d1", "d2"]).select("id", "n", "shingles", "marks").dropDuplicates(["id"])
     sets = materialize(sets, "sets")
 
     links = _same_documents(some, classes)
