@@ -19,6 +19,8 @@ anything is intersected.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,7 +36,8 @@ ANCHORS = (
 CHAIN = 2
 #: Rows that a window of neighbouring documents holds, about.
 BUCKET_ROWS = 1000
-SUPER_BUCKETS = 4096
+#: Quantiles of the ids that bound buckets, at most; and buckets whose order is settled together.
+QUANTILES, SUPER_BUCKETS = 1024, 4096
 
 
 def words_of(text: Column) -> Column:
@@ -74,32 +77,46 @@ def likeness(a: Column, b: Column, least: float = 0.0) -> Column:
     return F.when(high == 0, 1.0).when((low == 0) | (low < least * high), 0.0).otherwise(exact)
 
 
-def _buckets(docs: DataFrame, rows: int) -> Column:
-    """A bucket for each doc_id, in order of doc_id, with about ``rows`` rows.
+@dataclass(frozen=True)
+class Ranges:
+    """Buckets of rows in order of doc_id: ranges between quantiles, each cut into ``parts`` of equal width."""
+
+    bounds: list[int]
+    high: int
+    parts: int
+
+    def bucket(self, doc_id: Column) -> Column:
+        """The bucket of an id; null ids lie in the lowest."""
+        k = F.coalesce(doc_id.cast("bigint"), F.lit(self.bounds[0]))
+        # two short searches instead of one long one
+        step = max(1, round(len(self.bounds) ** 0.5))
+        groups = [self.bounds[n : n + step] for n in range(0, len(self.bounds), step)]
+        at_most = lambda array: F.greatest(F.size(F.filter(array, lambda b: b <= k)) - 1, F.lit(0))
+        group = at_most(F.array(*(F.lit(g[0]) for g in groups)))
+        inside = at_most(F.get(F.array(*(F.array(*map(F.lit, g)) for g in groups)), group))
+        place = group * step + inside
+        low = F.get(F.array(*map(F.lit, self.bounds)), place)
+        width = F.get(F.array(*(F.lit(max(1, -(-(b - a) // self.parts))) for a, b in zip(self.bounds, [*self.bounds[1:], self.high + 1], strict=True))), place)
+        return place.cast("bigint") * self.parts + F.least(F.floor((k - low) / width), F.lit(self.parts - 1)).cast("bigint")
+
+
+def ranges_of(docs: DataFrame, rows: int) -> Ranges:
+    """Ranges of about ``rows`` rows, however unevenly the ids are spread: their bounds are quantiles of all ids.
 
-    Buckets have equal widths where ids are dealt evenly; those that hold
-    more than four times the rows wanted are divided once more.
+    At most QUANTILES bounds come to the driver; beyond, ranges are cut evenly.
     """
     ids = docs.select(F.col("doc_id").cast("bigint").alias("k"))
-    n, low, high = ids.agg(F.count("k"), F.min("k"), F.max("k")).first()
-    if not n:
-        return F.lit(0).cast("bigint")
-    count = max(1, n // rows)
-    width = max(1, -(-(high - low + 1) // count))
-    k = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(low)) - F.lit(low)
-    coarse = F.floor(k / F.lit(width)).cast("bigint") if width > 1 else k
-    full = ids.where("k is not null").groupBy(F.floor((F.col("k") - F.lit(low)) / F.lit(width)).cast("bigint").alias("c")).count().where(F.col("count") > 4 * rows).limit(10_001).collect()
-    if not full or len(full) > 10_000 or width == 1:
-        return coarse * 1024
-    parts = F.lit(1)
-    for r in full:
-        parts = F.when(coarse == r["c"], min(1024, -(-r["count"] // rows))).otherwise(parts)
-    return coarse * 1024 + F.floor((k - coarse * F.lit(width)) / F.lit(width) * parts).cast("bigint")
+    count, low, high = ids.agg(F.count("k"), F.min("k"), F.max("k")).first()
+    if not count:
+        return Ranges([0], 0, 1)
+    n = min(QUANTILES, max(1, count // rows))
+    found = ids.agg(F.percentile_approx("k", [q / n for q in range(1, n)], 10 * QUANTILES)).first()[0] if n > 1 else []
+    return Ranges(sorted({low, *found}), high, max(1, -(-count // (n * rows))))
 
 
 def _next_bucket(heads: DataFrame) -> DataFrame:
     """(bucket, next_bucket): the nearest lower bucket that has rows; after the lowest the highest."""
-    own = heads.select("bucket", F.floor(F.col("bucket") / F.lit(1024 * SUPER_BUCKETS)).alias("above"))
+    own = heads.select("bucket", F.floor(F.col("bucket") / F.lit(SUPER_BUCKETS)).alias("above"))
     supers = own.groupBy("above").agg(F.max("bucket").alias("top"))
     all_supers = Window.orderBy(F.desc("above"))
     supers = supers.select(F.col("above").alias("s"), F.lead("top").over(all_supers).alias("follows"), F.max("top").over(all_supers.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("first"))
@@ -185,10 +202,11 @@ def fingerprints(docs: DataFrame, *, bucket_rows: int = BUCKET_ROWS) -> DataFram
     equal ids by text; after the last comes the first). Texts cross the
     network once: neighbours meet in windows over ranges of doc_id, and only
     the first and last document of each range are joined. Null texts count as
-    empty, a single document follows itself, other columns are ignored.
+    empty, whole texts are read, a single document follows itself, other
+    columns are ignored, an empty table gives no rows.
     """
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    signed = with_signatures(docs.withColumn("bucket", _buckets(docs, bucket_rows)), "text", "signatures")
+    signed = with_signatures(docs.withColumn("bucket", ranges_of(docs, bucket_rows).bucket(F.col("doc_id"))), "text", "signatures")
     order = Window.partitionBy("bucket").orderBy(F.desc_nulls_last("doc_id"), "text")
     rows = signed.select("*", F.lead("text").over(order).alias("next_text"), F.lead("signatures").over(order).alias("next_signatures"), F.row_number().over(order).alias("place"))
     first, last = F.col("place") == 1, F.col("next_text").isNull()
