@@ -4,7 +4,8 @@ Native: only DataFrame functions and Spark's FP-growth.
 
 *Mining.* Each labelled URL becomes a set of tokens (scheme, sub-domain,
 domain words, ending, path words, file ending, query keys, fragment) and one
-token for its label. FP-growth finds the frequent sets; rules "tokens => bad"
+token for its label. Tokens that stand in exactly the same labelled URLs count
+as one, as a group of n of them would make 2**n sets that say the same. FP-growth finds the frequent sets; rules "tokens => bad"
 below the support or confidence asked for are pruned, and so are rules that a
 shorter one with at least their confidence covers.
 
@@ -22,6 +23,8 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import materialize, small
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ALLOW, BLOCK = "allow", "block"
 BAD = "label=bad"
@@ -80,20 +83,43 @@ def tokens_of(url: Column) -> Column:
     )))
 
 
-def mine(labelled: DataFrame, *, min_support: float = MIN_SUPPORT, min_rows: int = MIN_ROWS, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """Rules from labelled URLs (url, bad): rule_tokens, confidence, bad_rows, index_token.
+def token_sets(labelled: DataFrame) -> DataFrame:
+    """Labelled URLs (url, bad) as token sets: set_id, tokens, bad. Rows without a label or tokens are left out."""
+    rows = labelled.where(F.col("bad").isNotNull()).select(tokens_of(F.col("url")).alias("tokens"), "bad").where(F.size("tokens") > 0)
+    return materialize(rows.withColumn("set_id", F.monotonically_increasing_id()), "token-sets")
+
+
+def twins(sets: DataFrame) -> DataFrame:
+    """(token, twin): tokens that stand in the same sets as a greater one, with the greatest of these."""
+    each = sets.select("set_id", F.explode("tokens").alias("token"))
+    # equal sums of two hashes over equally many sets: the same sets
+    marked = each.groupBy("token").agg(F.count("*").alias("n"), F.expr("bit_xor(xxhash64(set_id))").alias("h1"), F.expr("bit_xor(xxhash64(7, set_id))").alias("h2"))
+    greatest = marked.groupBy("n", "h1", "h2").agg(F.max("token").alias("twin"))
+    return materialize(marked.join(greatest, ["n", "h1", "h2"]).where("token <> twin").select("token", "twin"), "twins")
+
+
+def with_twins(sets: DataFrame, same: DataFrame, key: str) -> DataFrame:
+    """Add ``own``: the tokens of each set (by its unique ``key``), each as its greatest twin."""
+    each = sets.select(F.col(key).alias("of_set"), F.explode("tokens").alias("token")).join(small(same), "token", "left")
+    named = each.groupBy("of_set").agg(F.array_sort(F.collect_set(F.coalesce("twin", "token"))).alias("own"))
+    return sets.join(named, F.col(key) == F.col("of_set"), "left").drop("of_set").withColumn("own", F.coalesce("own", F.array().cast("array<string>")))
+
+
+def mine(labelled: DataFrame, *, min_support: float = MIN_SUPPORT, min_rows: int = MIN_ROWS, min_confidence: float = MIN_CONFIDENCE) -> tuple[DataFrame, DataFrame]:
+    """Rules from labelled URLs (url, bad): rule_tokens, confidence, bad_rows, index_token; and the twins of tokens.
 
     Rows without a label are ignored. No labelled row, or none that is bad,
     gives no rules.
     """
-    rows = labelled.where(F.col("bad").isNotNull()).select(tokens_of(F.col("url")).alias("tokens"), "bad")
-    items = rows.select(F.when(F.col("bad"), F.concat("tokens", F.array(F.lit(BAD)))).otherwise(F.col("tokens")).alias("items")).where(F.size("items") > 0)
-    support = min(1.0, max(min_support, min_rows / max(1, items.count())))
+    sets = token_sets(labelled)
+    same = twins(sets)
+    items = with_twins(sets, same, "set_id").select(F.when(F.col("bad"), F.concat("own", F.array(F.lit(BAD)))).otherwise(F.col("own")).alias("items"))
+    support = min(1.0, max(min_support, min_rows / max(1, sets.count())))
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(items)
-    sets = model.freqItemsets.select(F.array_sort("items").alias("items"), "freq")
-    bad = sets.where(F.array_contains("items", BAD) & (F.size("items") > 1)).select(F.array_remove("items", BAD).alias("items"), F.col("freq").alias("bad_rows"))
-    rules = bad.join(sets, "items").select(F.col("items").alias("rule_tokens"), (F.col("bad_rows") / F.col("freq")).alias("confidence"), "bad_rows").where(F.col("confidence") >= min_confidence)
-    single = sets.where(F.size("items") == 1).select(F.col("items")[0].alias("index_token"), "freq")
+    frequent = materialize(model.freqItemsets.select(F.array_sort("items").alias("items"), "freq"), "frequent-sets")
+    bad = frequent.where(F.array_contains("items", BAD) & (F.size("items") > 1)).select(F.array_remove("items", BAD).alias("items"), F.col("freq").alias("bad_rows"))
+    rules = bad.join(frequent, "items").select(F.col("items").alias("rule_tokens"), (F.col("bad_rows") / F.col("freq")).alias("confidence"), "bad_rows").where(F.col("confidence") >= min_confidence)
+    single = frequent.where(F.size("items") == 1).select(F.col("items")[0].alias("index_token"), "freq")
     each = rules.select("*", F.explode("rule_tokens").alias("index_token"))
     rare = each.join(single, "index_token").groupBy("rule_tokens").agg(F.min_by("index_token", F.struct("freq", "index_token")).alias("index_token"))
     rules = rules.join(rare, "rule_tokens")
@@ -101,13 +127,15 @@ def mine(labelled: DataFrame, *, min_support: float = MIN_SUPPORT, min_rows: int
     general = rules.select(F.col("rule_tokens").alias("g_tokens"), F.col("confidence").alias("g_confidence"), F.col("index_token").alias("g_token"))
     covered = each.select("rule_tokens", "confidence", F.col("index_token").alias("g_token")).join(general, "g_token")
     covered = covered.where((F.size("g_tokens") < F.size("rule_tokens")) & (F.col("g_confidence") >= F.col("confidence")) & (F.size(F.array_except("g_tokens", "rule_tokens")) == 0))
-    return rules.join(covered.select("rule_tokens").distinct(), "rule_tokens", "left_anti")
+    return materialize(rules.join(covered.select("rule_tokens").distinct(), "rule_tokens", "left_anti"), "rules"), same
 
 
-def match(sets: DataFrame, rules: DataFrame) -> DataFrame:
+def match(sets: DataFrame, rules: DataFrame, same: DataFrame) -> DataFrame:
     """The strongest rule (confidence, then tokens) of each distinct token set: tokens, mined_rule."""
-    looked = sets.select("tokens").distinct().select("tokens", F.explode("tokens").alias("index_token"))
-    found = looked.join(rules, "index_token").where(F.size(F.array_except("rule_tokens", "tokens")) == 0)
+    distinct = sets.select("tokens").distinct()
+    own = with_twins(distinct, same, "tokens")
+    looked = own.select("tokens", "own", F.explode("own").alias("index_token"))
+    found = looked.join(rules, "index_token").where(F.size(F.array_except("rule_tokens", "own")) == 0)
     return found.groupBy("tokens").agg(F.max_by(F.array_join("rule_tokens", " "), F.struct("confidence", "rule_tokens")).alias("mined_rule"))
 
 
@@ -120,8 +148,11 @@ def judge(pages: DataFrame, labelled: DataFrame, rules: list[Rule], *, min_suppo
     is allowed. Repeated rows are judged each; other columns are ignored.
     """
     parts = pages.select("page_id", "url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), tokens_of(F.col("url")).alias("tokens"))
-    mined = match(parts, mine(labelled, min_support=min_support, min_rows=min_rows, min_confidence=min_confidence))
-    out = parts.join(mined, "tokens", "left")
+    rules_found, same = mine(labelled, min_support=min_support, min_rows=min_rows, min_confidence=min_confidence)
+    if rules_found.isEmpty():
+        out = parts.withColumn("mined_rule", F.lit(None).cast("string"))
+    else:
+        out = parts.join(small(materialize(match(parts, rules_found, same), "matched-sets")), "tokens", "left")
     host, path = F.col("host"), F.col("path")
     own = F.when(F.col("mined_rule").isNotNull(), BLOCK).otherwise(ALLOW)
     return out.select("page_id", "host", "path", stated(host, path, rules, lambda r: r.text).alias("rule"), F.coalesce(stated(host, path, rules, lambda r: r.verdict), own).alias("verdict"), "mined_rule")
