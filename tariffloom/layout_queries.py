@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tariffloom.operators.layouts.engine import extract_prices, normalize_tables
 from tariffloom.operators.layouts.readings import read_cells, read_labels, read_layouts
 from tariffloom.plans.profile import Profile
-from tariffloom.queries import query, read
+from tariffloom.queries import query, read, spread
 
 PROFILE = Profile({
     "alias": ["reference", "ref no", "item code", "catalog no", "cat.nos", "cat nos"], "purchase": ["mrp", "unit mrp", "price", "purchase", "rate"],
@@ -163,7 +163,7 @@ _LAYOUTS = {
 def layout_headers(spark, sf_dir):
     """The header row and the columns of each role, of four shapes."""
     tables = tables_of(spark, sf_dir, *(SHAPES[n][0] for n in _LAYOUTS))
-    return read_layouts(tables, PROFILE).select(F.col("doc_id").cast("bigint").alias("id"), "table_idx", "layout.header_row", "layout.mappings")
+    return read_layouts(spread(tables), PROFILE).select(F.col("doc_id").cast("bigint").alias("id"), "table_idx", "layout.header_row", "layout.mappings")
 
 
 # --- cells ------------------------------------------------------------------
@@ -173,7 +173,7 @@ def cells_of(spark: SparkSession, sf_dir: str, shapes: list[str]) -> DataFrame:
     """The readings of a cell of each shape for each row of ``part``: id, shape, reading."""
     part = read(spark, sf_dir, "part").select("p_partkey")
     made = part.select(F.col("p_partkey").alias("id"), F.posexplode(F.array(*map(_cell, shapes))).alias("shape", "cell"))
-    return read_cells(made, "cell", PROFILE).select("id", "shape", "reading")
+    return read_cells(spread(made), "cell", PROFILE).select("id", "shape", "reading")
 
 
 def cells_sql(columns: list[tuple[str, str]], rows: list[list[str | None]]) -> str:
@@ -267,6 +267,6 @@ def header_labels(spark, sf_dir):
     """The role that a label names; whole words of a synonym score 100."""
     part = read(spark, sf_dir, "part").select("p_partkey")
     made = part.select(F.col("p_partkey").alias("id"), F.posexplode(F.array(*(F.lit(t) for t, _, _ in _LABELS))).alias("shape", "label"))
-    r = read_labels(made, "label", PROFILE)
+    r = read_labels(spread(made), "label", PROFILE)
     each = [c for role in ("alias", "purchase", "particulars", "pack") for c in (F.col(f"reading.{role}_named"), (F.col(f"reading.{role}_score") == 100).alias(f"{role}_whole"))]
     return r.select("id", "shape", "reading.role", *each)

@@ -103,7 +103,9 @@ def normalize_tables(tables: DataFrame, profile: Profile, *, include_particulars
     counts from 1.
     """
     slim = tables.select(F.col("doc_id").cast("string"), F.col("page_idx").cast("int"), F.col("table_idx").cast("int"), "matrix")
-    dealt = slim.repartition("doc_id", "page_idx").sortWithinPartitions("doc_id", "page_idx", "table_idx")
+    # parsing costs far more than the bytes tell, so the number of partitions is that of the session and small ones aren't put together
+    parts = int(tables.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = slim.repartition(parts, "doc_id", "page_idx").sortWithinPartitions("doc_id", "page_idx", "table_idx")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         engine = TableEngine(profile, include_particulars, include_pack)

@@ -25,6 +25,11 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Dealt to as many tasks as a shuffle has: for small inputs of which each row is dear."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def given(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     """The rows of an input query over the driver's tables."""
     import re
@@ -62,16 +67,16 @@ select id, case id % 12
 from (select p_partkey as id, p_retailprice as p, i, cast(floor(i / 1000.0) as bigint) as k, i % 1000 as r
       from (select p_partkey, p_retailprice, p_partkey * 37 % 90000 + 1000 as i from part) a) b
 """
-PARSED = """
-select id, v, case when v ~ '[A-Za-z]' then null
-    when n > 1 and g ~ '^[0-9]{1,3}( [0-9]{3})+([.][0-9]+)?$' then try_cast(replace(g, ' ', '') as double)
+PARSED = f"""
+select id, v, case when regexp_matches(v, '[A-Za-z]') then null
+    when n > 1 and regexp_matches(g, '^[0-9]{{1,3}}( [0-9]{{3}})+([.][0-9]+)?$') then try_cast(replace(g, ' ', '') as double)
     when n > 1 then null
-    when regexp_matches(w, '^([0-9]{1,3}(,[0-9]{3})+|[0-9]+)([.][0-9]+)?$') then try_cast(replace(w, ',', '') as double) end as price
-from (select *, len(regexp_extract_all(t, '[0-9]+(?:,[0-9]{3})*(?:[.][0-9]+)?')) as n,
+    when regexp_matches(w, '^([0-9]{{1,3}}(,[0-9]{{3}})+|[0-9]+)([.][0-9]+)?$') then try_cast(replace(w, ',', '') as double) end as price
+from (select *, len(regexp_extract_all(t, '[0-9]+(?:,[0-9]{{3}})*(?:[.][0-9]+)?')) as n,
              trim(regexp_replace(replace(t, ',', ''), '\\s+', ' ', 'g')) as g,
              trim(regexp_replace(replace(replace(t, ' ', ''), ',,', ','), '[.]-$', ''), '.') as w
-      from (select *, trim(v, E' \\n\\t\\r') as t from (INPUT) i) a) b
-""".replace("INPUT", PRICE_TEXTS).replace("v ~ ", "regexp_matches(v, ").replace("'[A-Za-z]' then", "'[A-Za-z]') then").replace("g ~ ", "regexp_matches(g, ").replace("([.][0-9]+)?$' then try_cast(replace(g", "([.][0-9]+)?$') then try_cast(replace(g")
+      from (select *, trim(v, E' \\n\\t\\r') as t from ({PRICE_TEXTS}) i) a) b
+"""
 
 
 @query(f"select id, v, price from ({PARSED}) p")
@@ -93,10 +98,9 @@ def text_prices(spark, sf_dir):
 
 
 @query(f"""
-select id, replace(replace(replace(v, ',', ''), '/-', ''), '.-', '') as p0,
-       regexp_matches(trim(replace(replace(replace(v, ',', ''), '/-', ''), '.-', ''), E' \\n'), '^([0-9]+[.]?[0-9]*|[.][0-9]+)$') as ok
-from ({PRICE_TEXTS}) i
-""".replace(" as p0", " as p0").replace("select id, replace(replace(replace(v", "select id, trim(replace(replace(replace(v").replace("'.-', '') as p0", "'.-', ''), E' \\n') as p0"))
+select id, trim(p, E' \\n') as p0, regexp_matches(trim(p, E' \\n'), '^([0-9]+[.]?[0-9]*|[.][0-9]+)$') as ok
+from (select id, replace(replace(replace(v, ',', ''), '/-', ''), '.-', '') as p from ({PRICE_TEXTS}) i) a
+""")
 def sheet_prices(spark, sf_dir):
     return given(spark, sf_dir, PRICE_TEXTS).select("id", prices.sheet_price(F.col("v")).alias("p0"), prices.is_sheet_price(F.col("v")).alias("ok"))
 
@@ -203,7 +207,7 @@ from (select *, contains(line, '/') as slash, regexp_matches(line, '^5ST') as co
       from (select rid, id, v, unnest(case when regexp_matches(v, '^[0-9]+( [0-9]+)+$') then string_split(v, ' ') when v = '' then [null] else list_transform(string_split(v, chr(10)), lambda x: trim(x)) end) as line
             from (select *, row_number() over () as rid from ({PACK_TEXTS}) i) r) a) b
 group by rid, id, v
-""".replace("as column_quality", "as column_quality"))
+""")
 def pack_columns(spark, sf_dir):
     v = F.col("v")
     return given(spark, sf_dir, PACK_TEXTS).select("id", packs.pack_column_quality(v).alias("column_quality"), packs.pack_line_count(v).cast("bigint").alias("pack_lines"))
@@ -324,11 +328,13 @@ from lineitem
 """
 QUALITY = "(case when pack = '' then 0 when contains(pack, '/') then 3 when regexp_matches(pack, '^[0-9]+$') then 2 else 1 end + (particulars <> '')::int)"
 _RATED = ", ".join(str(float(r)) for r in dedup.DEDUP_RATINGS)
-DEDUP_SQL = f"""
-with k as (select *, {QUALITY} as q from (INPUT) i where NOT_SELF),
+def dedup_sql(rows: str, not_self: str = "true", footnotes: str = "", code_like: str = "false") -> str:
+    """All layers over ``rows``, with conditions for what the input can hold."""
+    return f"""
+with k as (select *, {QUALITY} as q from ({rows}) i where {not_self}),
      a as (select alias, purchase, min(ord) as ord, first(particulars order by q desc, ord) as particulars, first(pack order by q desc, ord) as pack, max(q) as q from k group by alias, purchase),
-     f as (select * from a FOOTNOTE),
-     c as (select *, CODELIKE as code_like, round(purchase, 2) in ({_RATED}) as rated from f),
+     f as (select * from a {footnotes}),
+     c as (select *, {code_like} as code_like, round(purchase, 2) in ({_RATED}) as rated from f),
      n1 as (select * from c qualify not rated or not bool_or(not rated) over (partition by alias)),
      n2 as (select * from n1 qualify not code_like or not bool_or(not code_like) over (partition by alias)),
      n3 as (select * from n2 qualify not (min(purchase) over (partition by alias) <= 120 and max(purchase) over (partition by alias) >= 150) or purchase = max(purchase) over (partition by alias)),
@@ -341,7 +347,7 @@ def _dedup(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     return dedup.deduplicate(given(spark, sf_dir, sql)).select("alias", "purchase", "particulars", "pack")
 
 
-@query(DEDUP_SQL.replace("INPUT", PRICE_ROWS).replace("NOT_SELF", "true").replace("FOOTNOTE", "").replace("CODELIKE", "false"))
+@query(dedup_sql(PRICE_ROWS))
 def dedup_best_price(spark, sf_dir):
     return _dedup(spark, sf_dir, PRICE_ROWS)
 
@@ -355,7 +361,11 @@ select alias, purchase, '' as particulars, '' as pack, row_number() over (order
 """
 
 
-@query(DEDUP_SQL.replace("INPUT", FOOTNOTE_ROWS).replace("NOT_SELF", "try_cast(alias as double) is distinct from purchase").replace("FOOTNOTE", "where not (length(alias) >= 7 and exists (select 1 from a b where b.alias = left(a.alias, length(a.alias) - 1) and b.purchase = a.purchase))").replace("CODELIKE", f"(select count(*) from ({FOOTNOTE_ROWS}) x where x.alias = cast(cast(floor(f.purchase) as bigint) as varchar) and length(x.alias) >= 5) > 0").replace("CODELIKE", "false"))
+@query(dedup_sql(
+    FOOTNOTE_ROWS, "try_cast(alias as double) is distinct from purchase",
+    "where not (length(alias) >= 7 and exists (select 1 from a b where b.alias = left(a.alias, length(a.alias) - 1) and b.purchase = a.purchase))",
+    f"(select count(*) from ({FOOTNOTE_ROWS}) x where x.alias = cast(cast(floor(f.purchase) as bigint) as varchar) and length(x.alias) >= 5) > 0",
+))
 def dedup_footnotes(spark, sf_dir):
     return _dedup(spark, sf_dir, FOOTNOTE_ROWS)
 

@@ -12,7 +12,7 @@ from tariffloom.layout_queries import HEAD, PROFILE, _cell, _text
 from tariffloom.operators import match, tables, triage
 from tariffloom.plans.jobs import from_text, price_list
 from tariffloom.plans.settings import Settings
-from tariffloom.queries import query, read
+from tariffloom.queries import query, read, spread
 from tariffloom.sources import readers, regions, sinks
 
 ID = "cast(doc_id as bigint) as id"
@@ -25,7 +25,7 @@ def part(spark: SparkSession, sf_dir: str) -> DataFrame:
 def page_texts(spark: SparkSession, sf_dir: str, *templates: str) -> DataFrame:
     """A document for each row of ``part`` with a page for each template."""
     made = part(spark, sf_dir).select(F.col("p_partkey").cast("string").alias("doc_id"), F.posexplode(F.array(*map(_cell, templates))).alias("page_idx", "text"))
-    return made.select("doc_id", F.col("page_idx").cast("int").alias("page_idx"), "text")
+    return spread(made.select("doc_id", F.col("page_idx").cast("int").alias("page_idx"), "text"))
 
 
 TABLE_TEXT = "Price list\n" + "\n".join([" | ".join(HEAD), "{s0} | Supply | {p0} | 1", "{s1} | Relay | {p1} | 10", "{s2} | Module | {p2} | 5"]) + "\nend"
@@ -82,7 +82,7 @@ def triage_page_limit(spark, sf_dir):
 
 @query("""
 select p_partkey as id, case p_partkey % 4 when 0 then 'success' when 1 then 'error' when 2 then 'no_rows' else 'error' end as status, cast(case p_partkey % 4 when 0 then 2 when 2 then 0 end as int) as n_rows,
-       case when p_partkey % 4 = 0 then concat('AB', cast(p_partkey as varchar)) end as code, case when p_partkey % 4 = 0 then 0.5 end as confidence from part
+       case when p_partkey % 4 = 0 then concat('AB', cast(p_partkey as varchar)) end as code, cast(case when p_partkey % 4 = 0 then 0.5 end as double) as confidence from part
 """)
 def model_answers(spark, sf_dir):
     """Answers of a model: rows, broken JSON, an empty list, and JSON without rows."""
@@ -122,7 +122,10 @@ def _groups(spark: SparkSession, sf_dir: str, least: int) -> DataFrame:
     return readers.header_groups(_words(spark, sf_dir), {r: PROFILE.markers(r) for r in ("alias", "purchase", "pack")}, F.lit(800.0), min_groups=least)
 
 
-@query("select p_partkey as id, x + 0.0 as alias_x, 100.0 as alias_y, x + 70.0 as purchase_x, x + 110.0 as pack_x from part cross join (values (10.0), (400.0)) v(x) where x < 100 or p_partkey % 2 = 0".replace("x + 0.0", "cast(x as double)").replace("100.0 as", "cast(100 as double) as").replace("x + 70.0", "cast(x + 70 as double)").replace("x + 110.0", "cast(x + 110 as double)"))
+@query("""
+select p_partkey as id, cast(x as double) as alias_x, cast(100 as double) as alias_y, cast(x + 70 as double) as purchase_x, cast(x + 110 as double) as pack_x
+from part cross join (values (10), (400)) v(x) where x < 100 or p_partkey % 2 = 0
+""")
 def header_blocks(spark, sf_dir):
     """Header blocks by geometry; a code word near the foot is none."""
     return _groups(spark, sf_dir, 1).select(F.col("doc_id").cast("bigint").alias("id"), "alias_x", "alias_y", "purchase_x", "pack_x")
