@@ -18,10 +18,10 @@ BROADCAST_ROWS = 2_000_000
 BATCH_BYTES = 8 << 20
 
 
-def shared_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder below the cluster's checkpoint folder.
+def _own_folder(spark: SparkSession) -> str:
+    """The application's folder below the cluster's checkpoint folder.
 
-    The folder is the one that ``spark.checkpoint.dir`` names. Only where a
+    That is the one that ``spark.checkpoint.dir`` names. Only where a
     local session names none (bench, tests) a temporary folder is set; on a
     cluster that is refused, as executors don't see the driver's folders.
     """
@@ -32,7 +32,18 @@ def shared_dir(spark: SparkSession, label: str) -> str:
         base = tempfile.mkdtemp(prefix="tariffloom-")
         spark.sparkContext.setCheckpointDir(base)
         base = spark.sparkContext.getCheckpointDir()
-    return f"{base.rstrip('/')}/tariffloom/{label}-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/tariffloom/{spark.sparkContext.applicationId}"
+
+
+def shared_dir(spark: SparkSession, label: str) -> str:
+    """A fresh folder that driver and executors share."""
+    return f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Remove all that this application has written in the shared folder; results that still read it are lost."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def bound_batches(spark: SparkSession, most: int = BATCH_BYTES) -> None:

@@ -84,6 +84,7 @@ class Counts:
         get = self.seen.young.__getitem__
         for known, rest in waiting:
             yield known + sum(map(get, rest))
+        self.seen.drop_long(wanted)
 
 
 @lru_cache(maxsize=2)

@@ -34,11 +34,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bpe import CACHE_ENTRIES, MARKS, PLAIN_LIMIT, byte_alphabet
+from .bpe import LONG, MARKS, PLAIN_LIMIT, byte_alphabet
 from .common import bound_batches, light_task, shared_dir
 
 MAGIC = b"PFR1"
 BLOCK = 1024
+#: Distinct pieces of words that a worker remembers.
+TABLE_PIECES = 1 << 19
 #: Ids after which a segment ends (with a whole document).
 SEGMENT_IDS = 1 << 18
 #: Percentiles of the bit lengths that are tried as width.
@@ -157,7 +159,7 @@ class WordEncoder:
     those of plain letters straight to its BPE model, others through all of it.
     """
 
-    def __init__(self, path: str, entries: int = CACHE_ENTRIES):
+    def __init__(self, path: str, entries: int = TABLE_PIECES):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
@@ -189,11 +191,14 @@ class WordEncoder:
         """The place of each piece."""
         found = list(map(self.places.get, pieces))
         if None in found:
-            if len(self.places) + found.count(None) > self.entries:
+            if len(self.starts) + found.count(None) > self.entries or len(self.ids) > 16 * self.entries:
                 self._forget()
                 found = [None] * len(pieces)
             self._learn([p for p, k in zip(pieces, found, strict=True) if k is None])
             found = list(map(self.places.__getitem__, pieces))
+            for p in pieces:
+                if len(p) > LONG:
+                    del self.places[p]
         return np.array(found, np.int64)
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:

@@ -24,10 +24,105 @@ def test_copied_passages_of_an_article_stay():
     assert got[3] == "Same\nSame passage\nOwn 3"
 
 
-def test_alignment_pairs_like_nodes():
-    trees = [html_extract.parse(h) for h in ("<div><p>a</p><ul><li>x</li></ul></div>", "<div><span>n</span><p>b</p><ul><li>y</li><li>z</li></ul></div>")]
-    n, pairs = html_extract.align(*trees)
-    assert n == 5 and [r[0].tag for r, _ in pairs] == ["div", "ul", "li", "p"]
+def measured(*pages):
+    trees, aligner = [html_extract.parse(h) for h in pages], html_extract.Aligner()
+    for t in trees:
+        aligner.measure(t)
+    return trees, aligner
+
+
+def plain_matching(a, b):
+    """Simple tree matching as it is defined, without numbers of shapes or halved tables."""
+    if a.label != b.label:
+        return 0
+    best = [[0] * (len(b.elements) + 1) for _ in range(len(a.elements) + 1)]
+    for i, x in enumerate(a.elements, 1):
+        for j, y in enumerate(b.elements, 1):
+            best[i][j] = max(best[i - 1][j], best[i][j - 1], best[i - 1][j - 1] + plain_matching(x, y))
+    return 1 + best[-1][-1]
+
+
+def test_matching_equals_its_definition():
+    import random
+
+    rng = random.Random(7)
+
+    def page(depth):
+        inside = "".join(page(depth - 1) for _ in range(rng.randint(0, 4))) if depth else "x"
+        tag = rng.choice(["div", "section", "ul"])
+        return f"<{tag} class='{rng.choice('ab')}'>{inside}</{tag}>"
+
+    for _ in range(60):
+        (a, b), aligner = measured(page(3) + page(2), page(3) + page(2))
+        pairs = aligner.align(a, b)
+        assert aligner.pairs(a.shape, b.shape) == plain_matching(a, b) == len(pairs)
+        assert all(x.label == y.label for x, y in pairs) and len({id(x) for x, _ in pairs}) == len(pairs)
+
+
+def test_halved_tables_give_the_same_sum():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    for _ in range(40):
+        w = rng.integers(0, 5, (rng.integers(1, 30), rng.integers(1, 30)))
+        whole, halved = html_extract.best_pairs(w), html_extract.best_pairs(w, 10)
+        total = lambda ps: sum(int(w[p]) for p in ps)  # noqa: E731, B023
+        assert total(whole) == total(halved) == html_extract._last_row(w)[-1]
+        assert all(a < b and c < d for (a, c), (b, d) in zip(halved, halved[1:], strict=False))
+
+
+def test_template_does_not_depend_on_the_number_of_pages():
+    page = "<body><div>Top bar text</div><div>Body {0} words</div><div>Bottom boilerplate</div></body>"
+    for n in (4, 8, 40):
+        assert html_extract.extract_group([page.format(k) for k in range(n)]) == [f"Body {k} words" for k in range(n)]
+
+
+def test_near_copies_are_not_template():
+    """A group that is mostly copies of one article keeps it, with or without an article element."""
+    text = "".join(f"<p>Paragraph {k} of the text" for k in range(9))
+    for page in ("<body><nav>Menu</nav><article>{0}<p>Own {1}</article></body>", "<body><nav>Menu</nav><div>{0}<p>Own {1}</div></body>"):
+        got = html_extract.extract_group([page.format(text, k) for k in range(12)] + [page.format("", 99)])
+        assert got[3] == "\n".join([*(f"Paragraph {k} of the text" for k in range(9)), "Own 3"])
+
+
+def test_boilerplate_paragraphs_need_different_pages():
+    page = "<article><h1>Title {0}</h1><p>Text {0} a</p><p>Text {0} b</p><p>This site uses things.</p></article>"
+    assert html_extract.extract_group([page.format(k) for k in range(8)])[2] == "Title 2\nText 2 a\nText 2 b"
+
+
+WHOLE = {
+    '<body class="single no-sidebar"><article><p>Text</p></article></body>': "Text",
+    '<div class="layout has-sidebar"><article><p>Text</p></article></div>': "Text",
+    '<div class="sidebar-left"><main><p>Text</p></main></div>': "Text",
+    '<div class="search-page"><p>Only text of the page, and it is long enough</p></div><div class="ad">Buy</div>': "Only text of the page, and it is long enough",
+    "<main><h1>Title</h1><article><p>Text</p></article><p>After</p></main>": "Title\nText\nAfter",
+    "<article><p>One</p></article><article><p>Two is longer</p></article>": "One\nTwo is longer",
+    '<article><p class="search-results">Found</p><p class="notice">Read this</p></article>': "Found",
+    "<p>Read <a>the linked long title of something</a> now</p>": "Read the linked long title of something now",
+    "<div><a>Home</a> | <a>About</a></div><p>Text</p>": "Text",
+    "<main><header>Site</header><article><header><h1>Title</h1></header><p>Text</p></article></main>": "Title\nText",
+    "<article><p>Text<div class='comments'><p>Long comment, longer than the text</div></article>": "Text",
+    "<body><form action=x><div>Most of the page lies in a form</div></form></body>": "Most of the page lies in a form",
+    "a <b>c</b> <!-- x --> d &lt;e&gt; <3 f < g <!x> h <": "a c d <e> <3 f < g h <",
+    "<p>one<p>two <ul><li>three<li>four</ul> five": "one\ntwo\nthree\nfour\nfive",
+    "<p title='a > b' class=x>one</p><p title=\"unclosed>two</p><p>three</p>": "one\ntwo\nthree",
+    "<table><tr><td>a<td>b<tr><td>c</table>": "a\nb\nc",
+    "</p></div>x</b>": "x",
+}
+
+
+def test_whole_pages():
+    for page, text in WHOLE.items():
+        assert html_extract.extract_group([page]) == [text], page
+
+
+def test_bad_pages_take_time_that_grows_with_their_length():
+    import time
+
+    for bad in ("<a" * 500_000, "<a " * 300_000, "<p>x" * 100_000, "<b>" * 100_000 + "</i>" * 100_000, "<div>" * 50_000 + "deep", "<p><b>" * 50_000, "<a href=\"x" * 100_000, "<!--" * 200_000, "<script>" * 100_000, "</div>" * 200_000, "&" * 500_000, "<a =\"" * 100_000 + ">"):
+        began = time.time()
+        html_extract.extract_group([bad, bad + "x", None])
+        assert time.time() - began < 10, bad[:20]
 
 
 def test_odd_pages(spark):
@@ -74,11 +169,72 @@ def test_mined_rules(spark):
     pages = spark.createDataFrame([(1, "http://big-casino.example.org/x"), (2, "http://win.example.com/a/5"), (3, "http://news-1.example.com/a/7.html"), (4, "http://casino-win.example.com/play/9")], "page_id bigint, url string")
     got = {r.page_id: (r.verdict, r.mined_rule) for r in url_filter.judge(pages, labelled, [], min_rows=10).collect()}
     assert got[1][0] == got[4][0] == "block" and got[2][0] == got[3][0] == "allow"
-    assert "word:casino" in got[1][1]
-    rules = url_filter.mine(labelled, min_rows=10)
+    assert got[1][1] == got[4][1] == "word:win"  # the greatest of the tokens that always stand together
+    rules, _ = url_filter.mine(labelled, min_rows=10)
     assert rules.where("confidence < 0.6 or size(rule_tokens) > 1").count() == 0  # longer ones are covered
 
 
+def test_mining_equals_brute_force(spark):
+    """Rules and verdicts against counting every set of tokens of every labelled URL."""
+    import itertools
+    import random
+
+    rng = random.Random(12)
+    host = lambda: f"{rng.choice(['win', 'news', 'a'])}-{rng.choice(['casino', 'shop', 'blog'])}.{rng.choice(['net', 'com'])}"
+    url = lambda: f"http://{host()}/{rng.choice(['play', 'read'])}/{rng.randint(1, 99)}{rng.choice(['', '.html'])}"
+    urls = [url() for _ in range(150)]
+    labelled = [(u, rng.random() < (0.9 if "casino" in u and "win" in u else 0.5 if "play" in u else 0.1)) for u in urls]
+    pages = [(k, url()) for k in range(200)]
+    df, pg = spark.createDataFrame(labelled, "url string, bad boolean"), spark.createDataFrame(pages, "page_id bigint, url string")
+    tokens = {r.url: frozenset(r.t) for r in df.select("url").union(pg.select("url")).distinct().select("url", url_filter.tokens_of(F.col("url")).alias("t")).collect()}
+    count, bad = {}, {}
+    for u, b in labelled:
+        for n in range(1, len(tokens[u]) + 1):
+            for own in map(frozenset, itertools.combinations(tokens[u], n)):
+                count[own] = count.get(own, 0) + 1
+                bad[own] = bad.get(own, 0) + b
+    rules = [own for own, n in bad.items() if n >= 12 and n >= 0.7 * count[own]]
+    want = {k: "block" if any(r <= tokens[u] for r in rules) else "allow" for k, u in pages}
+    got = {r.page_id: r.verdict for r in url_filter.judge(pg, df, [], min_rows=12, min_confidence=0.7).collect()}
+    assert got == want and set(want.values()) == {"block", "allow"}
+
+
+def test_tokens_that_always_stand_together_count_as_one(spark):
+    """Thirty such tokens would make 2**30 frequent sets."""
+    path = "/".join(f"w{k}x" for k in range(30))
+    labelled = spark.createDataFrame([(f"http://bad.com/{path}/{k}", True) for k in range(40)] + [(f"http://good.com/{k}", False) for k in range(40)], "url string, bad boolean")
+    pages = spark.createDataFrame([(1, "http://x.org/w7x"), (2, "http://bad.com/"), (3, "http://good.com/9"), (4, "http://x.org/w")], "page_id bigint, url string")
+    got = {r.page_id: r.verdict for r in url_filter.judge(pages, labelled, [], min_rows=10).collect()}
+    assert got == {1: "block", 2: "block", 3: "allow", 4: "allow"}
+
+
+def test_long_urls(spark):
+    long = "http://a.net/en/" + "x/" * 20_000 + "?" + "k=v&" * 20_000
+    pages = spark.createDataFrame([(1, long), (1, long), (None, long)], "page_id bigint, url string")
+    got = url_filter.judge(pages, spark.createDataFrame([], "url string, bad boolean"), RULES).collect()
+    assert len(got) == 3 and {(r.host, r.rule) for r in got} == {("a.net", "net/")}
+
+
+def test_url_query_equals_sql(spark, tmp_path):
+    """The query against its SQL, on tables where mined rules decide."""
+    import duckdb
+
+    from tariffloom.llm import queries
+
+    docs = [(k, k % 3) for k in range(120)]
+    pages = [(k, f"http://{'win-casino' if q == 0 else 'news'}{k % 4}.example.{'org' if k % 2 else 'com'}/{'fr' if k % 5 == 0 else 'en'}/{k}{'.html' if k % 7 else '?a=1&b'}{'#x' if k % 11 == 0 else ''}", "x") for k, q in docs] + [(500, None, None), (501, "no url", ""), (502, "HTTP://X.Example.NET/en/1", "")]
+    folder = str(tmp_path)
+    spark.createDataFrame(pages, "page_id bigint, url string, html string").coalesce(1).write.parquet(f"{folder}/pages.parquet")
+    spark.createDataFrame([(k, int(q > 0), 0) for k, q in docs], "doc_id bigint, quality int, toxic int").coalesce(1).write.parquet(f"{folder}/labels.parquet")
+    con = duckdb.connect()
+    for t in ("pages", "labels"):
+        con.register(t, spark.read.parquet(f"{folder}/{t}.parquet").toPandas())
+    got = queries.op3_url_filter(spark, folder)
+    want = con.execute(queries.oracle_sql()["op3_url_filter"]).fetchall()
+    assert sorted(map(tuple, got.select("page_id", "host", "path", "rule", "verdict", "mined").collect()), key=str) == sorted(want, key=str)
+    assert sum(r[5] for r in want) >= 30
+
+
 def test_labels_by_document(spark):
     pages = spark.createDataFrame([("http://a/en/12.html",), ("http://a/x2/7?p=3",), ("http://a/",), (None,)], "url string")
     labels = spark.createDataFrame([(12, 0, 0), (7, 1, 0), (7, 1, 1), (None, 0, 0)], "doc_id bigint, quality int, toxic int")
@@ -132,6 +288,47 @@ def test_declaration_and_host_decide_short_texts(spark):
     assert got == ["fr"] * 3
 
 
+def test_posterior_equals_brute_force(spark):
+    """Languages and confidences against the same evidence put together row by row, without Spark."""
+    import math
+    from collections import Counter
+
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").limit(120)
+    odd = spark.createDataFrame([(900, "la", None, "s1", 2), (901, "der die", "fr", "s1", 2), (902, None, "de", "s2", 0), (903, "of the", "xx", None, 2), (904, "", None, None, 0)], docs.schema)
+    docs = docs.unionByName(odd).withColumn("end", F.when(F.col("doc_id") % 3 == 0, "com").when(F.col("doc_id") % 3 == 1, "org"))
+    model = language_id.train(docs, F.col("text"), F.col("lang"), F.col("doc_id"))
+    out = language_id.identify(docs, model, text="text", declared=F.col("lang"), host=F.col("source"), suffix=F.col("end"))
+    rows = [(r.doc_id, model.evidence(r.text), r.lang, r.source, r.end) for r in docs.collect()]
+    k, names = len(model.languages), model.languages
+    best = lambda e: int(e.argmax()) if e.any() else None
+    known = [(best(e), lang, host, end) for _, e, lang, host, end in rows if e.any()]
+    whole, by_end, by_host = Counter(b for b, *_ in known), Counter((x, b) for b, _, _, x in known), Counter((h, x, b) for b, _, h, x in known)
+    said = [(b, lang) for b, lang, *_ in known if lang in names]
+    agreement = (sum(names[b] == lang for b, lang in said) + 9) / (len(said) + 10)
+    shares = [(whole[b] + 1) / (len(known) + k) for b in range(k)]
+    smooth = lambda counts, key, above: [(counts[*key, b] + 20 * above[b]) / (sum(counts[*key, c] for c in range(k)) + 20) for b in range(k)]
+    want = {}
+    for doc, e, lang, host, end in rows:
+        seen = any(by_host[host, end, b] for b in range(k))
+        prior = smooth(by_host, (host, end), smooth(by_end, (end,), shares)) if seen else shares
+        logs = [float(e[b]) + math.log(prior[b]) + (0 if lang not in names else math.log(agreement) if names[b] == lang else math.log((1 - agreement) / (k - 1))) for b in range(k)]
+        want[doc] = names[logs.index(max(logs))], 1 / sum(math.exp(x - max(logs)) for x in logs)
+    got = {r.doc_id: (r.language, r.confidence) for r in out.collect()}
+    assert {d: v[0] for d, v in got.items()} == {d: v[0] for d, v in want.items()}
+    assert all(abs(got[d][1] - want[d][1]) < 1e-6 for d in want)
+
+
+def test_evidence_is_bounded_but_reads_the_whole_text():
+    import numpy as np
+
+    logs = np.full((language_id.BUCKETS, 2), -9.0, np.float32)
+    logs[language_id.trigrams("abc")] = [-1.0, -5.0]
+    model = language_id.TextModel(["a", "b"], logs, np.full(2, -20.0))
+    one, many = model.evidence("abc " * 40), model.evidence("abc " * 4000)
+    assert np.allclose(one, many, rtol=0.02) and np.allclose(many / language_id.EFFECTIVE_TRIGRAMS, model.fits(language_id.trigrams("abc " * 4000)))
+    assert model.evidence("xyz " * 5000 + "abc " * 5000)[0] > model.evidence("xyz " * 5000)[0]
+
+
 def test_quality_on_held_out_rows(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     seen, unseen = labels.where("doc_id % 2 = 0"), labels.where("doc_id % 2 = 1")
@@ -156,9 +353,34 @@ def test_views_teach_each_other():
     y = rng.integers(0, 2, 400).astype(float)
     view = lambda noise: np.stack([2 * y - 1 + noise * rng.normal(size=400), np.ones(400)], axis=1)
     text, meta = view(0.6), view(0.9)
-    model = quality.co_train(text[:60], meta[:60], y[:60], text[60:], meta[60:])
+    asked = []
+
+    def pool(views, good):
+        asked.append(good)
+        surest = lambda x, w: np.argsort(x[60:] @ w)
+        give = lambda own, w, other: (other[60:][(ends := np.r_[(order := surest(own, w))[:20], order[-20:]])], (own[60:][ends] @ w > 0).astype(float))
+        return {"text": give(text, views.text, meta), "meta": give(meta, views.meta, text)}
+
+    model = quality.co_train(text[:60], meta[:60], y[:60], pool)
     right = ((model.log_odds(text, meta) >= 0) == (y == 1)).mean()
-    assert right > 0.93 and model.cut <= 0
+    assert right > 0.93 and model.cut <= 0 and len(asked) == quality.ROUNDS
+
+
+def test_all_unlabelled_rows_set_the_bounds(spark):
+    """The pool hands over the surest rows of all, whatever their number, and no more than asked for."""
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(5000, 2))
+    rows = spark.createDataFrame([(k, [float(a), 1.0], [float(b), 1.0], (k * 7919 % 5003 - 2502) * 3_600_000_000_000_000) for k, (a, b) in enumerate(x)], "doc_id bigint, text array<float>, meta array<float>, place bigint")
+    give = quality.distributed_pool(rows.repartition(3), handed=0.1, handed_rows=100)
+    got = give(quality.Views(np.array([9.0, 0.0]), np.array([9.0, 0.0])), 0.8)
+    for view, (own, other) in (("text", (0, 1)), ("meta", (1, 0))):
+        features, labels = got[view]
+        assert (labels == 1).sum() == 80 and (labels == 0).sum() == 20
+        by_other = {np.float32(v): k for k, v in enumerate(x[:, other])}
+        mine = np.array([x[by_other[np.float32(f[0])], own] for f in features])
+        assert mine[labels == 1].min() >= np.quantile(x[:, own], 0.91) and mine[labels == 0].max() <= np.quantile(x[:, own], 0.03)
 
 
 def test_quality_without_labels(spark):

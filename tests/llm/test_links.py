@@ -94,12 +94,15 @@ def test_a_group_of_near_copies_equals_brute_force(spark, edits):
     assert got == linked(texts, 2)
 
 
+def sets_table(spark, sets):
+    return spark.createDataFrame([(k, len(s), s.view("int64").tolist(), minhash.marks(s).view("int64").tolist()) for k, s in enumerate(sets)], "id bigint, n bigint, shingles array<bigint>, marks array<bigint>")
+
+
 def test_prefix_join_loses_no_link(spark):
     """Every pair of the similarity is among the pairs, whatever the components, and far fewer than all are made."""
     texts = [t for seed in range(3) for t in copies(60, 50, (1, 20), seed)]
     sets = [minhash.shingles(t, 2, minhash._Words()) for t in texts]
-    rows = [(k, len(s), s.view("int64").tolist()) for k, s in enumerate(sets)]
-    df = spark.createDataFrame(rows, "id bigint, n bigint, shingles array<bigint>")
+    df = sets_table(spark, sets)
     members = df.select("id", F.col("id").alias("component"))
     pairs = {(r.u, r.v) for r in minhash.prefix_pairs(members, df, 80).collect()}
     plain = [set(s.tolist()) for s in sets]
@@ -111,7 +114,7 @@ def test_copies_of_one_group_make_few_pairs(spark):
     """Of a group that is one component, no pairs are made; members that it does not reach make few."""
     texts = copies(200, 80, (1, 5), 4)
     sets = [minhash.shingles(t, 2, minhash._Words()) for t in texts]
-    df = spark.createDataFrame([(k, len(s), s.view("int64").tolist()) for k, s in enumerate(sets)], "id bigint, n bigint, shingles array<bigint>")
+    df = sets_table(spark, sets)
     assert minhash.prefix_pairs(df.select("id", F.lit(0).cast("bigint").alias("component")), df, 80).count() == 0
 
 
@@ -251,6 +254,43 @@ def test_fingerprint_edges(spark):
     assert spotsigs.fingerprints(same.limit(0)).count() == 0
 
 
+def test_ranges_are_even_for_uneven_ids(spark):
+    """An outlier, clustered ids and many equal ids leave the other buckets even; order is kept."""
+    ids = [*range(20_000), 2**60, *range(10**9, 10**9 + 5000), *range(-10**12, -10**12 + 3000), *([7] * 500), None]
+    df = spark.createDataFrame([(i, "x") for i in ids], "doc_id bigint, text string")
+    ranges = spotsigs.ranges_of(df, 500)
+    got = df.select("doc_id", ranges.bucket(F.col("doc_id")).alias("bucket")).toPandas()
+    assert got.groupby("bucket").size().max() <= 1500
+    known = got.dropna().sort_values("doc_id", kind="stable")
+    assert known["bucket"].is_monotonic_increasing and got[got["doc_id"].isna()]["bucket"].iloc[0] == got["bucket"].min()
+    wide = spotsigs.Ranges(ranges.bounds, ranges.high, 3)
+    assert df.select("doc_id", wide.bucket(F.col("doc_id")).alias("bucket")).toPandas().dropna().sort_values("doc_id", kind="stable")["bucket"].is_monotonic_increasing
+
+
+def signatures_by_hand(text):
+    """Anchors with their chains, read word by word."""
+    words, anchors = re.findall(r"[^\W_]+", text.lower()), set(spotsigs.ANCHORS)
+    out = set()
+    for k, w in enumerate(words[:-1]):
+        if w in anchors and words[k + 1] not in anchors:
+            second = words[k + 2] if k + 2 < len(words) and words[k + 2] not in anchors else None
+            out.add((w, words[k + 1], second))
+    return out
+
+
+def test_signatures_equal_brute_force(spark):
+    """As many signatures as by hand, equal exactly where those are equal, and the same likeness."""
+    texts = [r.text for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()][:120]
+    texts += [t + " the end" for t in texts[:20]]
+    rows = [(k, t) for k, t in enumerate(texts) if signatures_by_hand(t)]
+    got = {r.doc_id: frozenset(r.signatures) for r in spotsigs.with_signatures(spark.createDataFrame(rows, "doc_id bigint, text string"), "text", "signatures").collect()}
+    by_hand = {k: signatures_by_hand(t) for k, t in rows}
+    assert len(rows) > 80 and all(len(got[k]) == len(by_hand[k]) for k in got)
+    for i in list(got)[:40]:
+        for j in got:
+            assert len(got[i] & got[j]) == len(by_hand[i] & by_hand[j])
+
+
 def test_likeness_is_pruned_by_length(spark):
     df = spark.createDataFrame([([1, 2, 3, 4], [1, 2]), ([1, 2], [1, 2]), ([], []), ([1], [])], "a array<int>, b array<int>")
     got = [tuple(r) for r in df.select(spotsigs.likeness(F.col("a"), F.col("b")), spotsigs.likeness(F.col("a"), F.col("b"), 0.6)).collect()]

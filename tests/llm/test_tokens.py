@@ -102,3 +102,16 @@ def test_store_round_trip(spark):
     got = token_store.store_round_trip(df.repartition(3), WORD)
     assert sorted(map(tuple, got.collect()), key=lambda r: r[1]) == want
     assert token_store.store_round_trip(df.limit(0), WORD).count() == 0
+
+
+def test_long_pieces_are_not_remembered():
+    long = ["x" * 5000 + str(k) for k in range(20)]
+    own = bpe.ByteBpe(BYTE)
+    assert len(list(own.encode_batch([*long, "a b c"]))) == 21
+    assert max(map(len, [*own.cache.young, *own.words.young])) <= bpe.LONG
+    counts = token_count.Counts(BYTE, {})
+    assert len(list(counts.batch([*long, "a b c"]))) == 21 and max(map(len, counts.seen.young)) <= bpe.LONG
+    words = token_store.WordEncoder(WORD, entries=10)
+    for _ in range(3):
+        ids, sizes = words.encode(pa.array([*long, "a b c"]), 2)
+        assert len(ids) == sizes.sum() and max(map(len, words.places)) <= bpe.LONG
