@@ -43,8 +43,10 @@ PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!
 CHUNK = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
 #: Marks that form one pre-token at the end of a word.
 MARKS = ".,;:!?*#$%&|()"
-CACHE_ENTRIES = 1 << 19
-BATCH_CHARS = 2_000_000
+CACHE_ENTRIES = 1 << 18
+BATCH_CHARS = 1_000_000
+#: Characters from which on a piece of text is not remembered.
+LONG = 256
 TOGETHER_LENGTH = 40
 SEPARATOR = "\u0100"
 #: Below this code point the regex module and the library agree on letters and numbers.
@@ -71,6 +73,12 @@ class Generations:
     def forget(self) -> None:
         self.young, self.old = {}, {}
 
+    def drop_long(self, keys: Iterable[str]) -> None:
+        """Forget keys that are too long to come again, so that the entries bound the bytes as well."""
+        for k in keys:
+            if len(k) > LONG:
+                self.young.pop(k, None)
+
     def missing(self, keys: set[str]) -> list[str]:
         """The keys that neither generation has; those that the older has become young again."""
         new = keys.difference(self.young)
@@ -330,6 +338,8 @@ class ByteBpe:
             for k, chunk in zip(places, new, strict=True):
                 values[k] = young[chunk]
             yield b"".join(values)
+        self.cache.drop_long(wanted)
+        self.words.drop_long([w for w in self.words.young if len(w) > LONG] if any(len(c) > LONG for c in wanted) else ())
 
     def decode(self, ids: bytes) -> bytes:
         """UTF-8 bytes of the text that the ids stand for, invalid bytes replaced."""
