@@ -8,14 +8,19 @@ the end each view's score is calibrated on labelled rows held out from all
 training, the calibrated log odds are added (less the prior that both hold),
 and a cut is set on the held-out rows that keeps nearly all good ones.
 
-Training uses bounded samples of labelled and of unlabelled rows (documented
-parameters), chosen by a hash of doc_id; scoring covers every row.
+All unlabelled rows take part: in each round both views score all of them, and
+the bounds of what is sure enough are quantiles over all of them. A view hands
+over classes in the proportion in which labels have them. What a regression is
+fitted on is bounded (documented parameters): a sample of the labelled rows and,
+of the rows handed over in a round, a sample by hash. A round after which
+held-out rows are told apart worse does not count, and ends the exchange.
+Scoring covers every row.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,12 +28,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, fresh
+from .common import bound_batches, fresh, materialize
 
-#: Labelled and unlabelled rows in training, about.
-LABELLED_ROWS, POOL_ROWS = 6_000, 6_000
+#: Labelled rows in training at most, and rows that a view hands over in a round at most.
+LABELLED_ROWS, HANDED_ROWS = 6_000, 600
 ROUNDS = 4
-#: Share of the pool that a view hands over of each class in a round, and how sure it must be.
+#: Share of the unlabelled rows that a view hands over in a round, and how sure it must be.
 HANDED, SURE = 0.05, 0.9
 #: Share of held-out good rows that the cut keeps.
 KEEP_GOOD = 0.997
@@ -107,38 +112,46 @@ def _neutral() -> CoTrained:
     return CoTrained(np.zeros(len(text_features(""))), np.zeros(len(meta_features(None, None, None))), np.zeros(2), np.zeros(2), 0.0, -1.0)
 
 
-def co_train(text: np.ndarray, meta: np.ndarray, y: np.ndarray, pool_text: np.ndarray, pool_meta: np.ndarray, *, rounds: int = ROUNDS) -> CoTrained:
-    """Train on labelled rows (every fourth is held out) and a pool of unlabelled ones."""
+@dataclass(frozen=True)
+class Views:
+    """Weights of both views while they are trained."""
+
+    text: np.ndarray
+    meta: np.ndarray
+
+
+#: What a pool gives for two views and the share of good labels: for each view the rows that it hands over, as (features of the *other* view, labels).
+Pool = Callable[[Views, float], dict[str, tuple[np.ndarray, np.ndarray]]]
+
+
+def calibrated(views: Views, text: np.ndarray, meta: np.ndarray, y: np.ndarray) -> CoTrained:
+    """Both views calibrated on held-out rows, with the cut and the accuracy there."""
+    lines = [fit(np.stack([odds(x, w), np.ones(len(y))], axis=1), y, penalty=1e-2) for x, w in ((text, views.text), (meta, views.meta))]
+    share = np.clip(y.mean(), 1e-3, 1 - 1e-3)
+    model = CoTrained(views.text, views.meta, *lines, float(np.log(share / (1 - share))), 0.0)
+    score = model.log_odds(text, meta)
+    cut = min(0.0, float(np.quantile(score[y == 1], 1 - KEEP_GOOD)) - 0.5)
+    return CoTrained(model.text, model.meta, *lines, model.prior, cut, float(((score >= cut) == (y == 1)).mean()))
+
+
+def co_train(text: np.ndarray, meta: np.ndarray, y: np.ndarray, pool: Pool | None, *, rounds: int = ROUNDS) -> CoTrained:
+    """Train on labelled rows (every fourth is held out) and on what the views hand each other from a pool of unlabelled ones."""
     held = np.arange(len(y)) % 4 == 3
     if len(np.unique(y[~held])) < 2 or len(np.unique(y[held])) < 2:
         return _neutral()
-    views = {"text": (text, pool_text), "meta": (meta, pool_meta)}
-    extra: dict[str, dict[int, int]] = {"text": {}, "meta": {}}
-
-    def trained(view: str) -> np.ndarray:
-        own, pool = views[view]
-        at = list(extra[view])
-        return fit(np.concatenate([own[~held], pool[at]]), np.concatenate([y[~held], [extra[view][k] for k in at]]))
-
-    weights = {v: trained(v) for v in views}
-    for _ in range(rounds if len(pool_text) else 0):
-        for view, other in (("text", "meta"), ("meta", "text")):
-            score = odds(views[view][1], weights[view])
-            order = np.argsort(score, kind="stable")
-            most = max(1, int(HANDED * len(order)))
-            limit = np.log(SURE / (1 - SURE))
-            fresh = [(int(k), c) for ks, c in ((order[-most:], 1), (order[:most], 0)) for k in ks if abs(score[k]) >= limit and (score[k] > 0) == c]
-            extra[other].update((k, c) for k, c in fresh if k not in extra[other])
-        weights = {v: trained(v) for v in views}
-    lines = {}
-    for v in views:
-        x = np.stack([odds(views[v][0][held], weights[v]), np.ones(held.sum())], axis=1)
-        lines[v] = fit(x, y[held], penalty=1e-2)
-    share = np.clip(y[held].mean(), 1e-3, 1 - 1e-3)
-    model = CoTrained(weights["text"], weights["meta"], lines["text"], lines["meta"], float(np.log(share / (1 - share))), 0.0)
-    score = model.log_odds(text[held], meta[held])
-    cut = min(0.0, float(np.quantile(score[y[held] == 1], 1 - KEEP_GOOD)) - 0.5)
-    return CoTrained(model.text, model.meta, model.text_line, model.meta_line, model.prior, cut, float(((score >= cut) == (y[held] == 1)).mean()))
+    own = {"text": text[~held], "meta": meta[~held]}
+    views = Views(fit(own["text"], y[~held]), fit(own["meta"], y[~held]))
+    best = calibrated(views, text[held], meta[held], y[held])
+    for _ in range(rounds if pool is not None else 0):
+        handed = pool(views, float(y.mean()))
+        got = {"text": handed["meta"], "meta": handed["text"]}  # each learns from the other
+        weights = {v: fit(np.concatenate([own[v], x]), np.concatenate([y[~held], c])) if len(c) else getattr(views, v) for v, (x, c) in got.items()}
+        views = Views(weights["text"], weights["meta"])
+        model = calibrated(views, text[held], meta[held], y[held])
+        if model.accuracy < best.accuracy:
+            break  # a round that tells held-out rows apart worse doesn't count
+        best = model
+    return best
 
 
 #: Columns that the views see.
@@ -149,36 +162,79 @@ def _features(text: pa.Array, *meta: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.array([text_features(t.as_py()) for t in text]), np.array([meta_features(*m) for m in zip(*(c.to_pylist() for c in meta), strict=True)])
 
 
-def train(docs: DataFrame, labels: DataFrame, *, labelled_rows: int = LABELLED_ROWS, pool_rows: int = POOL_ROWS) -> CoTrained:
-    """Co-train on bounded samples. Repeated labels of a document: the worst counts; null ones don't."""
-    one = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").alias("label_id")).agg(F.min("quality").alias("quality"))
-    n_labels, n = labels.count(), docs.count()
-
-    def chosen(key: str, seed: int, rows: int, of: int):
-        return F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1_000_000)) < int(min(1.0, rows / max(1, of)) * 1_000_000) + 1
-
-    some = F.broadcast(one.where(chosen("label_id", 1, labelled_rows, n_labels)))  # about labelled_rows rows of two numbers
-    bound_batches(docs.sparkSession)
-    columns = ["doc_id", *INPUT]
-    rows = docs.select(*columns).join(some, F.col("doc_id") == F.col("label_id"), "left")
-    rows = rows.where(F.col("quality").isNotNull() | chosen("doc_id", 2, pool_rows, n)).select(*columns, "quality")
+def features(docs: DataFrame) -> DataFrame:
+    """doc_id, text and meta (features as arrays) and a number that shuffles rows, of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                text, meta = _features(*(batch.column(columns.index(c)) for c in INPUT))
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(5), pa.array(list(text), pa.list_(pa.float64())), pa.array(list(meta), pa.list_(pa.float64()))], names=["doc_id", "quality", "text", "meta"])
+            for part in (batch.slice(k, 1024) for k in range(0, batch.num_rows, 1024)):
+                both = _features(*(part.column(1 + k) for k in range(len(INPUT))))
+                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(list(x.astype(np.float32)), pa.list_(pa.float32())) for x in both)], names=["doc_id", "text", "meta"])
 
     kind = dict(docs.dtypes)["doc_id"]
-    got = rows.mapInArrow(run, f"doc_id {kind}, quality int, text array<double>, meta array<double>").toPandas()
+    made = docs.select("doc_id", *INPUT).mapInArrow(run, f"doc_id {kind}, text array<float>, meta array<float>")
+    return made.withColumn("place", F.xxhash64(F.lit(5), "doc_id", "text", "meta"))
+
+
+def least_places(rows: DataFrame, limit: int, expected: float) -> DataFrame:
+    """The ``limit`` rows with the least ``place``, of about ``expected`` ones.
+
+    All others are left out where they lie, so that no more than a few times
+    ``limit`` rows meet, however many partitions there are.
+    """
+    share = min(1.0, (2 * limit + 100) / max(1.0, expected))
+    return rows.where(F.col("place") <= min(2**63 - 1, int(share * 2**64) - 2**63)).orderBy("place").limit(limit)
+
+
+def distributed_pool(rows: DataFrame, *, handed: float = HANDED, handed_rows: int = HANDED_ROWS) -> Pool:
+    """The pool of all ``rows`` (text, meta, place): scored where they lie, with bounds from quantiles over all of them."""
+
+    n = rows.count()
+
+    def give(views: Views, good: float) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+        def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+            for text, meta in batches:
+                scores = [odds(np.stack(x.to_numpy(zero_copy_only=False)), w) if len(x) else np.zeros(0) for x, w in ((text, views.text), (meta, views.meta))]
+                yield pa.StructArray.from_arrays([pa.array(z, pa.float64()) for z in scores], names=["text", "meta"])
+
+        scored = rows.withColumn("odds", F.arrow_udf(run, "text double, meta double").asNondeterministic()("text", "meta"))
+        shares = [handed * (1 - good), 1 - handed * good]
+        bounds = scored.agg(*(F.percentile_approx(f"odds.{v}", shares, 10_000).alias(v) for v in ("text", "meta"))).first()
+        sure = float(np.log(SURE / (1 - SURE)))
+        out = {}
+        for view, other in (("text", "meta"), ("meta", "text")):
+            parts = []
+            for label, share in ((0, 1 - good), (1, good)):
+                limit = bounds[view][label] if bounds[view] else 0.0
+                z = F.col(f"odds.{view}")
+                chosen = (z <= min(limit, -sure)) if label == 0 else (z >= max(limit, sure))
+                # at most so many rows come to the driver, those with the least hash
+                few = least_places(scored.where(chosen), max(1, round(handed_rows * share)), handed * share * n)
+                parts.append(few.select(F.col(other).alias("x"), F.lit(label).alias("y")))
+            got = parts[0].unionByName(parts[1]).toPandas()
+            x = np.stack(got["x"]).astype(np.float64) if len(got) else np.zeros((0, len(views.meta if other == "meta" else views.text)))
+            out[view] = x, got["y"].to_numpy(np.float64)
+        return out
+
+    return give
+
+
+def train(docs: DataFrame, labels: DataFrame, *, labelled_rows: int = LABELLED_ROWS, handed_rows: int = HANDED_ROWS) -> CoTrained:
+    """Co-train on documents and labels. Repeated labels of a document: the worst counts; null ones don't.
+
+    Without labels of both classes the model keeps every row.
+    """
+    bound_batches(docs.sparkSession)
+    one = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").alias("label_id")).agg(F.min("quality").alias("quality"))
+    rows = materialize(features(docs), "features").join(one, F.col("doc_id") == F.col("label_id"), "left")
+    labelled = rows.where("quality is not null")
+    got = least_places(labelled, labelled_rows, labelled.count()).select("text", "meta", "quality").toPandas()
     if not len(got):
         return _neutral()
-    got = got.sort_values("doc_id", kind="stable", key=lambda s: s.map(lambda d: zlib.crc32(str(d).encode())))
-    text, meta, quality = np.stack(got["text"]), np.stack(got["meta"]), got["quality"].to_numpy(np.float64)
-    known = ~np.isnan(quality)
-    if not known.any():
-        return _neutral()
-    return co_train(text[known], meta[known], (quality[known] > 0).astype(float), text[~known], meta[~known])
+    text, meta = (np.stack(got[c]).astype(np.float64) for c in ("text", "meta"))
+    unlabelled = materialize(rows.where("quality is null").select("text", "meta", "place"), "unlabelled")
+    pool = None if unlabelled.isEmpty() else distributed_pool(unlabelled, handed_rows=handed_rows)
+    return co_train(text, meta, (got["quality"].to_numpy() > 0).astype(float), pool)
 
 
 def score(docs: DataFrame, model: CoTrained) -> DataFrame:
