@@ -519,12 +519,12 @@ select t, col_idx, cast(sum((col_idx = 0)::int) as int) as codes, cast(sum((col_
 from ({CELLS}) i where cell <> '' group by t, col_idx
 """)
 def column_stats(spark, sf_dir):
-    return tables.column_stats(given(spark, sf_dir, CELLS), ["t"])
+    return tables.column_stats(spread(given(spark, sf_dir, CELLS)), ["t"])
 
 
 @query(f"select t, col_idx from ({CELLS}) i where col_idx in (1, 3) group by t, col_idx having count(*) >= 3 and avg((try_cast(cell as bigint) between 1 and 100)::int) < 0.7")
 def price_columns(spark, sf_dir):
-    return tables.price_columns(tables.column_stats(given(spark, sf_dir, CELLS), ["t"])).select("t", "col_idx")
+    return tables.price_columns(tables.column_stats(spread(given(spark, sf_dir, CELLS)), ["t"])).select("t", "col_idx")
 
 
 @query(f"select a.t, a.col_idx as code_col, b.col_idx as price_col, count(*) as n from ({CELLS}) a join ({CELLS}) b on a.t = b.t and a.row_idx = b.row_idx where a.col_idx = 0 and b.col_idx in (1, 3) group by 1, 2, 3")
