@@ -117,11 +117,12 @@ def band_join(anchors: DataFrame, words: DataFrame, keys: list[str], *, dy: floa
     """Words within a band right of each anchor on the same page (x, y): range join with cells of the band's height.
 
     Only words whose cell of height ``dy`` is the anchor's or next to it meet
-    it, so a page with many words is no all-pairs join.
+    it, so a page with many words is no all-pairs join. The tables are merged,
+    never broadcast: estimates don't see how many words a page explodes into.
     """
     slots = anchors.select(*keys, F.col("anchor_id"), F.col("x").alias("ax"), F.col("y").alias("ay"), F.explode(F.sequence(F.floor(F.col("y") / dy) - 1, F.floor(F.col("y") / dy) + 1)).alias("slot"))
     own = words.select(*keys, "word_id", "x", "y", F.floor(F.col("y") / dy).alias("slot"))
-    met = slots.join(own, [*keys, "slot"])
+    met = slots.join(own.hint("merge"), [*keys, "slot"])
     return met.where((F.abs(F.col("y") - F.col("ay")) <= dy) & (F.col("x") >= F.col("ax") - left) & (F.col("x") <= F.col("ax") + right)).select(*keys, "anchor_id", "word_id", "x", "y")
 
 

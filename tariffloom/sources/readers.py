@@ -114,7 +114,8 @@ def header_groups(words: DataFrame, markers: dict[str, list[str]], page_height:
     for price and pack. Blocks below four fifths of the page are none; of
     anchors within eight units of each other the first counts. Pages with fewer
     than ``min_groups`` blocks give none; where several are asked for, they must
-    stand within ``spread`` units of height.
+    stand within ``spread`` units of height. Words are merged with anchors,
+    whatever the planner believes their number to be.
     """
     from tariffloom.functions.text import has_any_marker, normalize_header
     from tariffloom.operators.tables import band_join
@@ -125,7 +126,8 @@ def header_groups(words: DataFrame, markers: dict[str, list[str]], page_height:
     upper = marked.where(F.col("y0") <= 0.9 * F.col("height"))
     anchors = upper.where(F.col("is_alias") & (F.col("y0") <= 0.8 * F.col("height"))).withColumnRenamed("word_id", "anchor_id")
     near = band_join(anchors, upper, keys, dy=dy, left=left, right=right)
-    near = near.join(upper.select(*keys, "word_id", *(f"is_{r}" for r in markers)), [*keys, "word_id"]).join(anchors.select(*keys, "anchor_id", F.col("x").alias("alias_x"), F.col("y").alias("alias_y")), [*keys, "anchor_id"])
+    near = near.join(upper.select(*keys, "word_id", *(f"is_{r}" for r in markers)).hint("merge"), [*keys, "word_id"])
+    near = near.join(anchors.select(*keys, "anchor_id", F.col("x").alias("alias_x"), F.col("y").alias("alias_y")).hint("merge"), [*keys, "anchor_id"])
     first = lambda r: F.min(F.when(F.col(f"is_{r}") & (F.col("x") > F.col("alias_x")), F.col("x"))).alias(f"{r}_x")
     groups = near.groupBy(*keys, "anchor_id", "alias_x", "alias_y").agg(*(first(r) for r in markers if r != "alias")).where("purchase_x is not null and pack_x is not null")
     from pyspark.sql import Window

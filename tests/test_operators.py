@@ -232,3 +232,14 @@ def test_streams_settle_prices(spark, tmp_path):
     run()
     assert {r.alias: r.purchase for r in current_prices(spark, place["prices"]).collect()} == {"414945": 10904.0, "414946": 1250.5, "415010": 990.0}
     assert watch_pages(spark, place["in"], PROFILE).isStreaming
+
+
+def _joins(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("SortMergeJoin"), plan.count("BroadcastHashJoin")
+
+
+def test_words_are_never_broadcast(spark):
+    # a page explodes into many words of which estimates know nothing; these few rows would be broadcast
+    groups = source_queries._groups(spark, DATA, 1)
+    assert _joins(groups) == (3, 0)
