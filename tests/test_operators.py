@@ -243,3 +243,7 @@ def test_words_are_never_broadcast(spark):
     # a page explodes into many words of which estimates know nothing; these few rows would be broadcast
     groups = source_queries._groups(spark, DATA, 1)
     assert _joins(groups) == (3, 0)
+
+
+def test_words_of_several_header_blocks_are_never_broadcast(spark):
+    assert _joins(readers.header_bands(source_queries._groups(spark, DATA, 2), 600.0)) == (3, 0)
