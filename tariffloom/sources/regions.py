@@ -44,7 +44,7 @@ def clipped_tables(words: DataFrame, areas: DataFrame) -> DataFrame:
     places = [c for c in ("alias_x", "particulars_x", "purchase_x", "pack_x") if c in areas.columns]
     starts = F.array_sort(F.array_compact(F.array(*places)))
     own = areas.select(*KEYS, "anchor_id", "left", "right", "top", "bottom", starts.alias("starts"))
-    inside = words.join(own, KEYS).where((F.col("x0") >= F.col("left")) & (F.col("x0") <= F.col("right")) & (F.col("y0") >= F.col("top")) & (F.col("y0") <= F.col("bottom")))
+    inside = words.join(own.hint("merge"), KEYS).where((F.col("x0") >= F.col("left")) & (F.col("x0") <= F.col("right")) & (F.col("y0") >= F.col("top")) & (F.col("y0") <= F.col("bottom")))
     table = [*KEYS, "anchor_id"]
     order = Window.partitionBy(*table).orderBy("y0", "x0", "word_id")
     column = F.greatest(F.size(F.filter("starts", lambda s: s <= F.col("x0") + 1)) - 1, F.lit(0))

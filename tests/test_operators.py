@@ -12,7 +12,7 @@ from tariffloom.operators import dedup, match, tables, triage
 from tariffloom.operators.layouts import cells
 from tariffloom.operators.layouts.engine import extract_prices, normalize_tables
 from tariffloom.plans.profile import Profile
-from tariffloom.sources import readers, sinks
+from tariffloom.sources import readers, regions, sinks
 
 DATA = "/root/testdata/sf0.001"
 
@@ -247,3 +247,8 @@ def test_words_are_never_broadcast(spark):
 
 def test_words_of_several_header_blocks_are_never_broadcast(spark):
     assert _joins(readers.header_bands(source_queries._groups(spark, DATA, 2), 600.0)) == (3, 0)
+
+
+def test_clipped_words_are_never_broadcast(spark):
+    areas = regions.anchored_areas(source_queries._groups(spark, DATA, 1), F.lit(600.0), F.lit(800.0))
+    assert _joins(regions.clipped_tables(source_queries._words(spark, DATA), areas)) == (4, 0)
