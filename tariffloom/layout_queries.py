@@ -3,13 +3,14 @@
 A shape is a table whose cells hold placeholders; each row of ``part`` fills
 it with codes and prices of its own. The SQL states the rows that must come
 out, from the numbers that were put in: it knows nothing of parsing.
-Placeholders of item k: c a code of six digits, s the same as it is printed
-(4 and 2 digits), a a code with letters, p a price.
+Placeholders of item k: c a code of six digits or more, s the same as it is
+printed (the last two digits apart), a a code with letters, p a price.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,14 +35,25 @@ def _value(kind: str, k: int) -> str:
     }[kind]
 
 
-def _text(template: str) -> str:
+def _text(template: str, value: Callable[[str, int], str] = _value) -> str:
     """A cell with placeholders as an SQL expression."""
-    parts = [_value(x[1], int(x[2])) if re.fullmatch(r"\{[csap]\d\}", x) else "'" + x.replace("'", "''") + "'" for x in re.split(r"(\{[csap]\d\})", template) if x]
+    parts = [value(x[1], int(x[2])) if re.fullmatch(r"\{[csap]\d\}", x) else "'" + x.replace("'", "''") + "'" for x in re.split(r"(\{[csap]\d\})", template) if x]
     return f"concat({', '.join(parts)}, '')" if parts else "''"
 
 
+def _printed(kind: str, k: int) -> str:
+    """A placeholder as tables print it.
+
+    Codes have seven digits from part 100,000 on. They are printed with two
+    digits behind the space as well: a group of three that ends in 1, 2 or 3
+    is by rule a group of two and a flattened footnote.
+    """
+    code = _value("c", k)
+    return f"concat(substr({code}, 1, length({code}) - 2), ' ', substr({code}, length({code}) - 1))" if kind == "s" else _value(kind, k)
+
+
 def _cell(template: str) -> Column:
-    lines = [F.expr(_text(x)) for x in template.split("\n")]
+    lines = [F.expr(_text(x, _printed)) for x in template.split("\n")]
     return F.concat_ws("\n", *lines)
 
 
