@@ -13,6 +13,7 @@ PARTS = [0, 99_999, *range(100_000, 100_010), 119_999, 1_199_999]
 #: Rows of the SQL whose code the footnote rule cuts if it is printed 4 + 3, for ``PARTS``.
 LONG = {
     "carry_forward": 18,
+    "code_stack": 12,
 }
 
 
