@@ -14,6 +14,7 @@ PARTS = [0, 99_999, *range(100_000, 100_010), 119_999, 1_199_999]
 LONG = {
     "carry_forward": 18,
     "code_stack": 12,
+    "compact_vertical": 12,
 }
 
 
