@@ -15,6 +15,7 @@ LONG = {
     "carry_forward": 18,
     "code_stack": 12,
     "compact_vertical": 12,
+    "dense_column": 12,
 }
 
 
