@@ -16,6 +16,7 @@ LONG = {
     "code_stack": 12,
     "compact_vertical": 12,
     "dense_column": 12,
+    "dual_role_column": 8,
 }
 
 
