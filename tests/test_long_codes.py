@@ -17,6 +17,7 @@ LONG = {
     "compact_vertical": 12,
     "dense_column": 12,
     "dual_role_column": 8,
+    "mapped_table": 12,
 }
 
 
