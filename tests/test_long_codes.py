@@ -18,6 +18,7 @@ LONG = {
     "dense_column": 12,
     "dual_role_column": 8,
     "mapped_table": 12,
+    "on_request_rows": 6,
 }
 
 
