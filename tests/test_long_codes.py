@@ -19,6 +19,7 @@ LONG = {
     "dual_role_column": 8,
     "mapped_table": 12,
     "on_request_rows": 6,
+    "repeated_blocks": 18,
 }
 
 
