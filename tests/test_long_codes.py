@@ -20,6 +20,7 @@ LONG = {
     "mapped_table": 12,
     "on_request_rows": 6,
     "repeated_blocks": 18,
+    "split_header": 12,
 }
 
 
