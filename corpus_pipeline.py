@@ -22,11 +22,11 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Documents whose language is found with confidence.
 
     Null and empty texts, and texts without a letter, have no evidence and go.
-    Texts are read whole; of equal posteriors the language first by name holds;
+    Addresses come from ``pages``. Texts are read whole; of equal posteriors the language first by name holds;
     repeated rows are judged each; an empty table gives none; further columns
     are kept, whatever their names.
     """
-    return language_id.identify_documents(docs).where("language_kept").select(*docs.columns)
+    return language_id.identify_documents(docs, table(spark, sf_dir, "pages")).where("language_kept").select(*docs.columns)
 
 
 def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ a known language; all else is counted over all rows.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType
 
-from .common import bound_batches, fresh, materialize
+from .common import bound_batches, fresh, materialize, small
 
 BUCKETS = 1 << 15
 #: Rows with a known language that the trigram model is trained on, about.
@@ -198,7 +198,7 @@ def priors(scored: DataFrame, model: TextModel) -> Priors:
     return Priors(agreement, whole, hosts, few)
 
 
-def identify(df: DataFrame, model: TextModel, *, text: str, declared: Column, host: Column, suffix: Column, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+def identify(df: DataFrame, model: TextModel, *, text: str, declared: Column, host: Column, suffix: Column, near: Callable[[DataFrame], DataFrame] | None = None, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """All columns of ``df``, language, confidence, declared_language and language_kept.
 
     Null or empty texts, texts without a letter, and texts that fit no
@@ -207,8 +207,10 @@ def identify(df: DataFrame, model: TextModel, *, text: str, declared: Column, ho
     ``min_confidence``; of equal posteriors the language that comes first by
     name wins. Whole texts are read, however long. Columns of ``df`` that bear the names of the new ones
     are replaced, others are kept whatever their names. Repeated rows are judged each; an empty table gives none.
+    ``near`` joins columns that host and suffix are taken from, one row to each; it is applied to scored rows, so that
+    what it shuffles for the priors holds no texts.
     """
-    k = len(model.languages)
+    k, near = len(model.languages), near or (lambda scored: scored)
     new = ["language", "confidence", "declared_language", "language_kept"]
     rows = df.drop(*new)
     if not k:
@@ -219,12 +221,11 @@ def identify(df: DataFrame, model: TextModel, *, text: str, declared: Column, ho
     given = {said: declared, place: F.when(index >= 0, index), own_host: host, own_suffix: suffix}
     has_evidence = F.exists(evidence, lambda x: x != 0)
     best = F.when(has_evidence, F.array_position(F.col(evidence), F.array_max(evidence)).cast("int") - 1)
-    slim = df.select(F.col(text).alias("text"), *(c.alias(n) for n, c in given.items())).withColumn(evidence, text_evidence(model, "text"))
-    known = priors(slim.select(best.alias("best"), F.col(place).alias("declared"), F.col(own_host).alias("host"), F.col(own_suffix).alias("suffix")), model)
+    scored = near(rows.withColumn(evidence, text_evidence(model, text))).withColumns(given)
+    known = priors(scored.select(best.alias("best"), F.col(place).alias("declared"), F.col(own_host).alias("host"), F.col(own_suffix).alias("suffix")), model)
     of_host, of_suffix, prior = fresh(rows, "of_host", "of_suffix", "prior")
     hosts = known.hosts.select(F.col("of_host").alias(of_host), F.col("of_suffix").alias(of_suffix), F.col("prior").alias(prior))
-    full = rows.withColumns(given).withColumn(evidence, text_evidence(model, text))
-    full = full.join(F.broadcast(hosts) if known.few else hosts, F.col(own_host).eqNullSafe(F.col(of_host)) & F.col(own_suffix).eqNullSafe(F.col(of_suffix)), "left")
+    full = scored.join(F.broadcast(hosts) if known.few else hosts, F.col(own_host).eqNullSafe(F.col(of_host)) & F.col(own_suffix).eqNullSafe(F.col(of_suffix)), "left")
     yes, no = math.log(known.agreement), math.log((1 - known.agreement) / max(1, k - 1))
     each = [F.col(evidence)[b].cast("double") + F.log(F.coalesce(F.col(prior)[b], F.lit(known.whole[b]))) + F.when(F.col(place).isNull(), 0.0).when(F.col(place) == b, yes).otherwise(no) for b in range(k)]
     full = full.withColumn(logs, F.array(*each)).withColumn(top, F.array_max(logs))
@@ -237,10 +238,27 @@ def identify(df: DataFrame, model: TextModel, *, text: str, declared: Column, ho
     )
 
 
-def identify_documents(docs: DataFrame, *, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """Documents: the record's lang is the declaration, source the host; there is no address."""
+def addresses(pages: DataFrame) -> DataFrame:
+    """(doc_id, host, suffix) of the documents that pages show: of several pages the one of the least page_id, of its URLs the first."""
+    from .url_filter import document_of, host_of
+
+    shown = pages.select(document_of(F.col("url")).alias("doc_id"), "page_id", "url").where(F.col("doc_id").isNotNull() & (host_of(F.col("url")) != ""))
+    host = host_of(F.col("first")["url"])
+    return shown.groupBy("doc_id").agg(F.min(F.struct("page_id", "url")).alias("first")).select("doc_id", host.alias("host"), F.nullif(F.substring_index(host, ".", -1), F.lit("")).alias("suffix"))
+
+
+def identify_documents(docs: DataFrame, pages: DataFrame | None = None, *, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """Documents: the record's lang is the declaration, host and suffix are those of the page that shows the document.
+
+    Where no page shows it, ``source`` stands for the host, and there is no suffix.
+    """
     model = train(docs, F.col("text"), F.col("lang"), F.col("doc_id"), sample_rows=sample_rows)
-    return identify(docs, model, text="text", declared=F.col("lang"), host=F.col("source"), suffix=F.lit(None).cast("string"))
+    if pages is None:
+        return identify(docs, model, text="text", declared=F.col("lang"), host=F.col("source"), suffix=F.lit(None).cast("string"))
+    shown, at, end = fresh(docs, "shown_doc", "address_host", "address_suffix")
+    known = small(materialize(addresses(pages), "addresses").toDF(shown, at, end))
+    near = lambda scored: scored.join(known, F.col("doc_id") == F.col(shown), "left")
+    return identify(docs, model, text="text", declared=F.col("lang"), host=F.coalesce(at, "source"), suffix=F.col(end), near=near)
 
 
 def identify_pages(pages: DataFrame, *, sample_rows: int = SAMPLE_ROWS) -> DataFrame:

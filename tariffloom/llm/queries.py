@@ -47,7 +47,7 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = language_id.identify_documents(table(spark, sf_dir, "documents"))
+    out = language_id.identify_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages"))
     return out.select("doc_id", "language", "confidence", "declared_language", F.col("language_kept").alias("kept"))
 
 

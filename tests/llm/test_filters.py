@@ -288,6 +288,27 @@ def test_declaration_and_host_decide_short_texts(spark):
     assert got == ["fr"] * 3
 
 
+def test_addresses_of_documents(spark):
+    rows = [(4, "http://b.example.org/en/12.html"), (3, "https://A.Example.COM/x2/12?p=3"), (3, "https://c.example.net/12"), (1, "http://a/"), (2, None), (5, "/en/13"), (6, "http://host/7")]
+    got = language_id.addresses(spark.createDataFrame(rows, "page_id int, url string"))
+    assert sorted(map(tuple, got.collect())) == [(7, "host", "host"), (12, "a.example.com", "com")]
+
+
+def test_suffix_of_a_documents_page_decides_short_texts(spark):
+    """Two documents that only differ in the suffix of the page that shows them, each on a host of its own."""
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    text = {lang: docs.where(F.col("lang") == lang).first().text for lang in ("fr", "es")}
+    known = [(9100 + 100 * n + k, text[lang], lang, "s", 9, lang) for n, lang in enumerate(text) for k in range(60)]
+    short = [(9000 + n, "la", None, "s", 2, lang) for n, lang in enumerate(text)]
+    extra = [*known, *short, (9002, "la", None, "s", 2, None)]
+    pages = spark.createDataFrame([(i, f"http://www.h{i}.{end}/x/{i}.html") for i, *_, end in extra if end], "page_id int, url string")
+    every = docs.union(spark.createDataFrame([r[:5] for r in extra], docs.schema)).withColumn("address_host", F.lit("mine"))
+    out = language_id.identify_documents(every, pages)
+    assert out.columns[:6] == every.columns and out.count() == every.count() and out.where("address_host <> 'mine'").count() == 0
+    got = {r.doc_id: r.language for r in out.where("doc_id between 9000 and 9001").collect()}
+    assert got == {9000: "fr", 9001: "es"}
+
+
 def test_posterior_equals_brute_force(spark):
     """Languages and confidences against the same evidence put together row by row, without Spark."""
     import math
