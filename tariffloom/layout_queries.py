@@ -4,7 +4,8 @@ A shape is a table whose cells hold placeholders; each row of ``part`` fills
 it with codes and prices of its own. The SQL states the rows that must come
 out, from the numbers that were put in: it knows nothing of parsing.
 Placeholders of item k: c a code of six digits or more, s the same as it is
-printed (the last two digits apart), a a code with letters, p a price.
+printed (4 digits and the rest; 5 and 2 if there are seven), a a code with
+letters, p a price.
 """
 
 from __future__ import annotations
@@ -44,12 +45,15 @@ def _text(template: str, value: Callable[[str, int], str] = _value) -> str:
 def _printed(kind: str, k: int) -> str:
     """A placeholder as tables print it.
 
-    Codes have seven digits from part 100,000 on. They are printed with two
-    digits behind the space as well: a group of three that ends in 1, 2 or 3
-    is by rule a group of two and a flattened footnote.
+    Codes have seven digits from part 100,000 on. Only these are printed with
+    five digits before the space: a group of three that ends in 1, 2 or 3 is
+    by rule a group of two and a flattened footnote. With more digits before
+    the space than four, codes of nine would have a group beyond the six that
+    are read.
     """
     code = _value("c", k)
-    return f"concat(substr({code}, 1, length({code}) - 2), ' ', substr({code}, length({code}) - 1))" if kind == "s" else _value(kind, k)
+    left = f"case when length({code}) = 7 then 5 else 4 end"
+    return f"concat(substr({code}, 1, {left}), ' ', substr({code}, {left} + 1))" if kind == "s" else _value(kind, k)
 
 
 def _cell(template: str) -> Column:
