@@ -21,7 +21,7 @@ def parts(tmp_path_factory):
     return str(folder), db
 
 
-@pytest.mark.parametrize("name", ["compact_vertical", "dense_column"])
+@pytest.mark.parametrize("name", ["compact_vertical", "dense_column", "dual_role_column"])
 def test_longer_codes_come_out_as_the_sql_says(spark, parts, name):
     folder, db = parts
     got = [tuple(r) for r in QUERIES[f"layout_{name}"](spark, folder).collect()]
